@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
 from .langid import language_id
+from .mixing import pareto_mix
 from .ngram_join import ngram_jaccard_join
 from .quality import quality
 from .substring import substring_dedup
@@ -27,6 +28,40 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto_mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS sid FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST((sid - 1) % 3 + 1 AS DOUBLE) AS weight, source_size * CAST(3 AS DOUBLE) AS most FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+), t AS (
+  SELECT sid, source, source_size, least(most, weight * coalesce((SELECT min(level) FROM l WHERE level <= most / weight), 0)) AS target FROM w
+), e AS (
+  SELECT d.*, sid, source_size, target,
+    CASE WHEN source_size > 0 THEN least(CAST(3 AS DOUBLE), target / source_size) ELSE 0 END AS expected,
+    (CAST(('0x' || substr(md5('mix' || chr(1) || CAST(doc_id AS VARCHAR)), 1, 13)) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), q AS (
+  SELECT *, CAST(floor(expected) AS BIGINT) AS whole,
+    CASE WHEN expected - floor(expected) > 0 THEN (u / (1 - u)) * ((1 - (expected - floor(expected))) / (expected - floor(expected))) END AS q,
+    target - sum(floor(expected) * size) OVER (PARTITION BY sid) AS rest FROM e
+), r AS (
+  SELECT *, sum(size) OVER (PARTITION BY sid ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS cum FROM q
+), c AS (
+  SELECT *, whole + CASE WHEN q IS NOT NULL AND rest > 0 AND cum + size / CAST(2 AS DOUBLE) <= rest THEN 1 ELSE 0 END AS copies FROM r
+)
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies FROM c
+"""
+
+
 def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
@@ -43,9 +78,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard_join, op4_language_id, op6_byte_level_bpe, op9_substring_dedup, op10_quality_classifier)
+    found = (op1_ngram_jaccard_join, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op9_substring_dedup, op10_quality_classifier)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_pareto_mixing": OP5_SQL}
