@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_encode
+from .embed_dedup import near_duplicates
 from .langid import language_id
 from .mixing import pareto_mix
 from .ngram_join import ngram_jaccard_join
 from .quality import quality
 from .substring import substring_dedup
+from .topk import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +88,10 @@ def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "n_factors")
@@ -78,9 +102,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard_join, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op9_substring_dedup, op10_quality_classifier)
+    found = (op1_ngram_jaccard_join, op3_exact_top_k, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op8_embedding_near_dedup, op9_substring_dedup, op10_quality_classifier)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_pareto_mixing": OP5_SQL}
+    return {"op3_exact_top_k": OP3_SQL, "op5_pareto_mixing": OP5_SQL}
