@@ -13,10 +13,14 @@ from .embed_dedup import near_duplicates
 from .langid import language_id
 from .mixing import pareto_mix
 from .ngram_join import ngram_jaccard_join
+from .pii import replace_pii
 from .quality import quality
 from .substring import substring_dedup
 from .topk import top_k
 
+#: The key of surrogates in queries and the pipeline; a deployment sets its own.
+PII_KEY = "tidewright"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +30,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(_table(spark, sf_dir, "documents"), key=PII_KEY).select("doc_id", "n_entities", "text")
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
@@ -102,7 +110,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard_join, op3_exact_top_k, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op8_embedding_near_dedup, op9_substring_dedup, op10_quality_classifier)
+    found = (op1_ngram_jaccard_join, op2_pii_surrogates, op3_exact_top_k, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op8_embedding_near_dedup, op9_substring_dedup, op10_quality_classifier)
     return {f.__name__: f for f in found}
 
 
