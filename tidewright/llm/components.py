@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from .store import forget, written
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_000_007), F.lit(0))).first()
-    return row[0], row[1]
-
-
 def _least(edges: DataFrame) -> DataFrame:
-    """For each node the least of itself and its neighbours; partial sums first, so a hub is no single task."""
+    """For each node u the least of itself and its v; partial sums first, so a hub is no single task."""
     return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether each a has one b and no b is an a: then the b are the roots."""
+    a = edges.groupBy(F.col("a").alias("x")).agg(F.count(F.lit(1)).alias("as_a"), F.lit(0).alias("as_b"))
+    b = edges.select(F.col("b").alias("x"), F.lit(0).cast("long").alias("as_a"), F.lit(1).alias("as_b")).distinct()
+    nodes = a.unionAll(b).groupBy("x").agg(F.sum("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
+    return nodes.where("as_a > 1 or as_a = 1 and as_b = 1").limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """edges (a, b), any order, loops and repeats allowed -> (node, root): root is the least node reachable.
 
@@ -26,15 +29,11 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     adaptive execution can split them. Each round's edges are a written table.
     """
     now = written(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    mark = _mark(now)
-    while mark[0]:
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    while not _is_forest_of_stars(now):
+        both = now.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.u", "e.v")
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.join(_least(large), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(_least(large).select(F.col("u").alias("a"), F.col("m").alias("b")))
-        then = written(small.where("a <> b").distinct(), name)
-        seen = _mark(then)
+        small = large.join(_least(large), "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
+        then = written(small.select("e.a", "e.b").where("a <> b").distinct(), name)
         forget(now)
-        now, same, mark = then, seen == mark, seen
-        if same:
-            break
+        now = then
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

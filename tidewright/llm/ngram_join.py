@@ -17,7 +17,10 @@ counted subsets and list entries cost least, over the sizes found in the data.
 A list of m sets is not expanded into m * m pairs: rounds compare its members
 with one pivot each and join those that link; only members that still lie in
 different components are compared pair by pair in the end, whatever their number,
-so components are exact.
+so components are exact. Before two whole sets meet, their sketches do: a sketch
+holds the parity of a set in each of SKETCH cells, so cells that differ are a lower
+bound of the shingles in which the sets differ, and 7 times these can't exceed the
+sum of the sizes of sets that link. Long lists compare sketches inside a task.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .batches import SIZES, ask, batch_table, bucket_bounds, cut_keys, join_keys, meet, prefix_bytes, text_batch, unpack
 from .components import connected_components
-from .store import forget, written
+from .store import forget, release, written
 from .words import LOWER, Batch, factors, mix, short_hashes, windows
 
 WORDS = 5
@@ -41,7 +44,11 @@ WORDS = 5
 ENTRY_COST = 8
 MOST_LIGHT = 24
 #: Rounds with one pivot a list, at most, before members of different components are compared pair by pair.
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 3
+#: Cells of a sketch.
+SKETCH = 2048
+#: Lists of more members compare sketches in tasks, each on two chunks of at most CHUNK.
+SHORT_LIST, CHUNK = 16, 2048
 
 
 def needed(s: int, t: int) -> int:
@@ -146,7 +153,7 @@ def _answer(lead: int):
     return answer
 
 
-_SET_SCHEMA = "doc_id long, n int, set_a long, set_b long, shared binary, rarest array<long>, subsets array<long>"
+_SET_SCHEMA = "doc_id long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>"
 
 
 def _finish(lead: int, light: int):
@@ -170,7 +177,7 @@ def _finish(lead: int, light: int):
             fp[0, filled] = np.add.reduceat(mix(keys), begins)
             fp[1, filled] = np.add.reduceat(mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)), begins)
         in_many = np.bincount(sets.docs[order], weights=rank > 0, minlength=sets.n_docs)
-        shared, rarest, subsets = [None] * sets.n_docs, [None] * sets.n_docs, [None] * sets.n_docs
+        shared, rarest, sketch, subsets = ([None] * sets.n_docs for _ in range(4))
         for d in filled[sets.known[filled]]:
             n, e = int(sets.sizes[d]), int(ends[d])
             own, own_rank = keys[e - n : e], rank[e - n : e]
@@ -179,6 +186,8 @@ def _finish(lead: int, light: int):
             least = -(-3 * n // 4)
             if in_many[d] < least:
                 continue
+            if n >= heavy_from:
+                sketch[d] = _sketch(own)
             many = own_rank > 0
             own, own_rank = own[many], own_rank[many]
             shared[d] = own.astype("<u8").tobytes()
@@ -192,6 +201,7 @@ def _finish(lead: int, light: int):
                 "set_b": pa.array(fp[1].view(np.int64)),
                 "shared": pa.array(shared, pa.binary()),
                 "rarest": pa.array(rarest, pa.list_(pa.int64())),
+                "sketch": pa.array(sketch, pa.list_(pa.int64())),
                 "subsets": pa.array(subsets, pa.list_(pa.int64())),
             }
         )
@@ -199,6 +209,33 @@ def _finish(lead: int, light: int):
     return finish
 
 
+def _sketch(shingles: np.ndarray) -> list[int]:
+    cells = (mix(shingles ^ np.uint64(0x3C6EF372FE94F82B)) % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=SKETCH) & 1).astype(bool)).view("<i8").tolist()
+
+
+def _long_list(table: pa.Table) -> pa.Table:
+    """The pairs of a list, or of two chunks of it, in different components, whose sizes and sketches allow a link."""
+    rep, n, comp, own = (table[c].to_numpy() for c in ("rep", "n", "comp", "own"))
+    sketch = pa.concat_arrays(table["sketch"].chunks).flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1)
+    split = table["lo"][0].as_py() != table["hi"][0].as_py()
+    order = np.argsort(n, kind="stable")
+    rep, n, comp, own, sketch = rep[order], n[order], comp[order], own[order], sketch[order].view(np.uint64)
+    left, right = [], []
+    for i in range(len(rep) - 1):
+        j = np.arange(i + 1, np.searchsorted(n, 4 * int(n[i]) // 3, side="right"))
+        j = j[(comp[j] != comp[i]) & (own[j] != own[i] if split else True)]
+        if len(j):
+            differ = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            j = j[7 * differ <= n[j].astype(np.int64) + int(n[i])]
+            left.append(np.full(len(j), i))
+            right.append(j)
+    i, j = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
+    swap = rep[i] > rep[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    return pa.table({"a": pa.array(rep[i], pa.int64()), "b": pa.array(rep[j], pa.int64()), "na": pa.array(n[i], pa.int32()), "nb": pa.array(n[j], pa.int32())})
+
+
 def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs (a, b) whose sets overlap enough; equal neighbouring sets are decoded once."""
     for part in rows:
@@ -214,15 +251,20 @@ def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b, na, nb) -> those that link, as (a, b)."""
-    x, y = sets.select(F.col("rep").alias("a"), F.col("shared").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("shared").alias("sb"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_linked, "a long, b long")
 
+    def side(end: str, column: str) -> DataFrame:
+        return sets.select(F.col("rep").alias(end), F.col(column).alias(f"{column}_{end}"))
+
+    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
+    return near.join(side("a", "shared"), "a").join(side("b", "shared"), "b").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(_linked, "a long, b long")
 
-def _candidates(lists: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Each member of a list with the list's pivot, where both sizes and components allow a new link."""
+
+def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep") -> DataFrame:
+    """Each member of a list with the list's pivots, where both sizes and components allow a new link."""
     return (
         lists.join(pivots, "key")
-        .where("rep <> p.rep and comp <> p.comp and 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
+        .where(f"{which} and comp <> p.comp and 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
         .selectExpr("least(rep, p.rep) a", "greatest(rep, p.rep) b", "if(rep < p.rep, n, p.n) na", "if(rep < p.rep, p.n, n) nb")
         .distinct()
     )
@@ -257,6 +299,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     replies = ask(batches, _request(lead), _answer(lead), "keys binary, counts binary", "ranks binary")
     all_sets = written(meet(batches, replies, _finish(lead, light), _SET_SCHEMA), "ngram-sets")
     forget(batches)
+    del replies, batches
+    release(docs.sparkSession)
 
     # copies of a set become one representative
     live = all_sets.where("doc_id is not null and (shared is not null or subsets is not null)")
@@ -264,35 +308,41 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     owners = live.join(classes, ["set_a", "set_b", "n"])
     reps = owners.where("doc_id = rep").dropDuplicates(["rep", "set_a", "set_b"])
     owners = written(owners.select("doc_id", "rep").where("doc_id <> rep").distinct(), "ngram-owners")
-    sets = written(reps.select("rep", "n", "shared", "rarest", "subsets"), "ngram-reps")
+    sets = written(reps.select("rep", "n", "shared", "rarest", "sketch", "subsets"), "ngram-reps")
 
     # light sets: a shared subset is a link
     subsets = sets.where("subsets is not null").select(F.explode("subsets").alias("key"), "rep")
     first = subsets.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    edges = [written(subsets.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "ngram-light")]
-    edges.append(owners.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    light_edges = subsets.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b"))
 
     # heavy sets: inverted lists of their rarest shared shingles
     lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "n")
-    heavy = sets.where("rarest is not null").select("rep", "shared")
+    heavy = sets.where("rarest is not null").select("rep", "shared", "sketch")
     several = lists.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
     lists = written(lists.join(several, "key", "left_semi").withColumn("comp", F.col("rep")), "ngram-lists")
-    found = written(connected_components(edges[0], "ngram-components"), "ngram-components")
-    lists = written(_with_components(lists, found), "ngram-lists")
-    for turn in range(PIVOT_ROUNDS):
+    found = connected_components(light_edges, "ngram-components")
+    for turn in range(PIVOT_ROUNDS + 1):
+        lists = written(_with_components(lists, found), "ngram-lists")
         left = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         entries, pairs = left.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0))).first()
-        if not entries or pairs <= 2 * entries:
+        if not entries or pairs <= 2 * entries or turn == PIVOT_ROUNDS:
             break
         by = "struct(rep)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep)"
         pivots = lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, n, comp), {by}) p"))
-        edges.append(written(_verified(_candidates(lists, pivots), heavy), "ngram-links"))
-        found = written(connected_components(_union(edges), "ngram-components"), "ngram-components")
-        lists = written(_with_components(lists, found), "ngram-lists")
-    other = lists.select("key", F.struct("rep", "n", "comp").alias("p"))
-    edges.append(written(_verified(_candidates(lists, other.where("p.comp is not null")).where("a < b"), heavy), "ngram-links"))
-
-    comps = connected_components(_union(edges), "ngram-components")
+        links = _verified(_candidates(lists, pivots), heavy)
+        found = connected_components(_star(found).unionByName(links), "ngram-components")
+    lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    short = lists.join(lengths.where(F.col("m") <= SHORT_LIST).select("key"), "key", "left_semi")
+    pairs = _candidates(short, short.select("key", F.struct("rep", "n", "comp").alias("p")), "rep < p.rep")
+    long = lists.join(lengths.where(F.col("m") > SHORT_LIST), "key").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
+    long = long.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    long = long.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "n", "comp").join(heavy.select("rep", "sketch"), "rep")
+    pairs = pairs.unionByName(long.groupBy("key", "lo", "hi").applyInArrow(_long_list, "a long, b long, na int, nb int")).distinct()
+    links = _verified(pairs, heavy)
+
+    # a document that is a copy hangs on its representative
+    copies = owners.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    comps = connected_components(_star(found).unionByName(links).unionByName(copies), "ngram-components")
     return (
         all_sets.select(F.col("doc_id"), F.col("n").cast("long").alias("n_shingles"))
         .join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -300,8 +350,6 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _union(edges: list[DataFrame]) -> DataFrame:
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out
+def _star(components: DataFrame) -> DataFrame:
+    """What is known of components, as edges."""
+    return components.select(F.col("root").alias("a"), F.col("node").alias("b"))

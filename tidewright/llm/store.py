@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -36,3 +37,9 @@ def forget(*tables: DataFrame) -> None:
         sc = df.sparkSession.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(df._tidewright_path)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; else they stay on disk until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
