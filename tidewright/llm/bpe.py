@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .batches import slices, text_batch
 from .words import span_hashes
@@ -316,7 +317,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """The rows of ``encoded`` with one more column, decoded (binary): the bytes of the ids; null ids give null."""
-    schema = encoded.schema.add("decoded", "binary")
+    schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
     at = encoded.columns.index(ids_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

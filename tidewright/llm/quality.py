@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .batches import slices, text_batch
 from .langid import held_out
@@ -28,6 +29,7 @@ DIMENSIONS = 64
 NEIGHBOURS = 32
 #: Similarities are raised to this power for the vote.
 SHARPNESS = 4
+THRESHOLD = 0.3
 _HALF = 4096
 _DOCS = 512
 SLICE = 2 << 20
@@ -127,20 +129,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(idf, axes.astype(np.float32), _unit(x @ axes).astype(np.float32), y, float(y.mean()) if len(y) else 0.5)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: (doc_id, score), 0 to 1, higher where label 1 is likelier.
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with one more column: the score, 0 to 1, higher where label 1 is likelier.
 
     A text without any feature (null, empty) or labelled neighbour gets the share of label 1 in the sample.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         k = min(NEIGHBOURS, len(m.labels))
-        for batch in slices(rows, "text", SLICE):
+        for batch in slices(rows, text_col, SLICE):
             for a in range(0, batch.num_rows, _DOCS):
                 part = batch.slice(a, _DOCS)
-                v = _unit(_weighted(counts(part.column(1)), m.idf) @ m.axes)
+                v = _unit(_weighted(counts(part.column(at)), m.idf) @ m.axes)
                 out = np.full(part.num_rows, m.prior)
                 if k:
                     near = v @ m.vectors.T
@@ -148,14 +151,26 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     weight = np.maximum(np.take_along_axis(near, top, axis=1), 0).astype(np.float64) ** SHARPNESS
                     total = weight.sum(axis=1)
                     np.divide((weight * m.labels[top]).sum(axis=1), total, out=out, where=total > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(out, 0, 1))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1))], names=[*part.schema.names, score_col])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
-    """Learn from labels.quality outside the fold, score all documents: (doc_id, held_out, score, predicted)."""
-    learned = labels.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold)).select("doc_id", F.col("quality").alias("label"))
-    model = fit(docs.select("doc_id", "text"), learned)
-    return score(docs, model).select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def learned(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Model:
+    """Fit on labels.quality outside the fold."""
+    rows = labels.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold)).select("doc_id", F.col("quality").alias("label"))
+    return fit(docs.select("doc_id", "text"), rows)
+
+
+def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = THRESHOLD) -> DataFrame:
+    """Learn outside the fold, score all documents: (doc_id, held_out, score, predicted)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = score(rows, learned(docs, labels, folds, fold))
+    return scored.select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that score the threshold or more."""
+    name = "quality_score_" + "_" * max(map(len, docs.columns))  # longer than, so unlike, any column
+    return score(docs, learned(docs, labels), score_col=name).where(F.col(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -15,6 +15,7 @@ from .mixing import pareto_mix
 from .ngram_join import ngram_jaccard_join
 from .pii import replace_pii
 from .quality import quality
+from .shards import read_slots, write_shards
 from .substring import substring_dedup
 from .topk import top_k
 
@@ -96,6 +97,12 @@ def op6_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_binary_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards, index = write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), key="tidewright")
+    found = read_slots(shards).select("slot", "shard", "offset", F.sha2("ids", 256).alias("ids_sha256"))
+    return index.join(found, "slot").select("slot", "shard", "offset", "doc_id", "seq", "n_tokens", "ids_sha256")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -110,7 +117,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard_join, op2_pii_surrogates, op3_exact_top_k, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op8_embedding_near_dedup, op9_substring_dedup, op10_quality_classifier)
+    found = (op1_ngram_jaccard_join, op2_pii_surrogates, op3_exact_top_k, op4_language_id, op5_pareto_mixing, op6_byte_level_bpe, op7_binary_shards, op8_embedding_near_dedup, op9_substring_dedup, op10_quality_classifier)
     return {f.__name__: f for f in found}
 
 

@@ -25,7 +25,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: short lineage that survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidewright_path = path
     return out
