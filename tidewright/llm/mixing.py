@@ -2,9 +2,11 @@
 
 Each source gets a target number of words. Every document of it is first taken
 as many whole times as is certain; for the rest, documents are ranked by random
-odds divided by the odds of their inclusion, and the first of them are taken, so
-many that their words come nearest to what is left of the target. The random
-numbers are keyed hashes of the ids, so reruns agree.
+odds divided by the odds of their inclusion, and the first of them are taken, as
+long as their words fit into what is left of the target. Then CLOSING times the
+one among the others whose size comes nearest to the gap that remains is taken, if
+it makes the gap smaller. The random numbers are keyed hashes of the ids, so reruns
+agree.
 
 The cut in a source's ranking is found by sums over two levels of bins of the
 rank, so that no source is ever sorted in one task.
@@ -20,8 +22,7 @@ from .store import written
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_COPIES = 3
 BINS = 4096
-#: Ranks with which no bin is crossed: all documents, or none, are taken.
-_ALL, _NONE = BINS, -1
+CLOSING = 3
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = MOST_COPIES) -> DataFrame:
@@ -44,8 +45,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap
         F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)).alias("open"),
         F.sum("source_size").over(Window.partitionBy()).alias("all"),
     ).withColumn("level", (F.col("all") - F.col("stopped")) / F.col("open"))
-    # the first level that the next source does not stop below
-    found = level.where("level <= most / weight").agg(F.min("level").alias("level"))
+    # the first source, in that order, that does not stop below its level
+    found = level.where("level <= most / weight").agg(F.min_by("level", F.struct(F.col("most") / F.col("weight"), "sid")).alias("level"))
     return per.join(F.broadcast(found)).select("sid", "source", "source_size", F.least("most", F.col("weight") * F.coalesce("level", F.lit(0.0))).alias("target"))
 
 
@@ -96,7 +97,7 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # what lies in one bin of both levels is ranked row by row
     order = Window.partitionBy("sid").orderBy("q", "doc_id", "size")
     last = inside1.withColumn("n", F.row_number().over(order)).withColumn("cum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    stop = last.where("cum + size / 2.0 > rest").groupBy("sid").agg(F.min(F.struct("q", "doc_id", "size")).alias("stop"))
+    stop = last.where("cum + size > rest").groupBy("sid").agg(F.min(F.struct("q", "doc_id", "size")).alias("stop"))
     cuts = left.select("sid").join(cut0.select("sid", F.col("b0").alias("c0")), "sid", "left").join(cut1.select("sid", F.col("b1").alias("c1")), "sid", "left").join(stop, "sid", "left")
     cuts = cuts.join(left.withColumnRenamed("rest", "rest0"), "sid")
     picked = (
@@ -107,12 +108,20 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .when(F.col("b1") != F.col("c1"), F.col("b1") < F.col("c1"))
         .otherwise(F.col("stop").isNull() | (F.struct("q", "doc_id", "size") < F.col("stop")))
     )
-    copies = F.col("whole") + picked.cast("long")
-    return d.join(cuts, "sid").select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    d = d.join(cuts, "sid").withColumn("picked", picked)
+    for _ in range(CLOSING):
+        gap = d.where("rest0 > 0").groupBy("sid").agg((F.first("rest0") - F.sum(F.when(F.col("picked"), F.col("size")).otherwise(0))).alias("gap"))
+        others = d.where("q is not null and not picked").join(gap, "sid").where("abs(gap - size) < gap")
+        closing = others.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "q", "doc_id", "size")).alias("c"))
+        closing = written(closing.select("sid", F.struct("c.q", "c.doc_id", "c.size").alias("closing")), "mix-closing")
+        closes = F.coalesce(F.struct("q", "doc_id", "size").eqNullSafe(F.col("closing")), F.lit(False))
+        d = d.join(closing, "sid", "left").withColumn("picked", F.col("picked") | closes).drop("closing")
+    copies = F.col("whole") + F.col("picked").cast("long")
+    return d.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 def _crossed(bins: DataFrame, left: DataFrame, b: str) -> DataFrame:
-    """For each source the bin in which its running sum reaches ``rest``, and what is left of rest there; no row if none does."""
+    """For each source the bin in which its running sum exceeds ``rest``, and what is left of rest there; no row if none does."""
     order = Window.partitionBy("sid").orderBy(b).rowsBetween(Window.unboundedPreceding, 0)
     run = bins.withColumn("upto", F.sum("s").over(order)).join(left, "sid")
-    return run.where("rest > 0 and upto - s < rest and upto >= rest").select("sid", b, (F.col("rest") - F.col("upto") + F.col("s")).alias("rest"))
+    return run.where("rest > 0 and upto - s <= rest and upto > rest").select("sid", b, (F.col("rest") - F.col("upto") + F.col("s")).alias("rest"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .embed_dedup import near_duplicates
 from .langid import language_id
-from .mixing import pareto_mix
+from .mixing import CLOSING, pareto_mix
 from .ngram_join import ngram_jaccard_join
 from .pii import replace_pii
 from .quality import quality
@@ -72,7 +72,7 @@ WITH d AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
 ), t AS (
-  SELECT sid, source, source_size, least(most, weight * coalesce((SELECT min(level) FROM l WHERE level <= most / weight), 0)) AS target FROM w
+  SELECT sid, source, source_size, least(most, weight * coalesce((SELECT level FROM l WHERE level <= most / weight ORDER BY most / weight, sid LIMIT 1), 0)) AS target FROM w
 ), e AS (
   SELECT d.*, sid, source_size, target,
     CASE WHEN source_size > 0 THEN least(CAST(3 AS DOUBLE), target / source_size) ELSE 0 END AS expected,
@@ -84,8 +84,20 @@ WITH d AS (
     target - sum(floor(expected) * size) OVER (PARTITION BY sid) AS rest FROM e
 ), r AS (
   SELECT *, sum(size) OVER (PARTITION BY sid ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS cum FROM q
-), c AS (
-  SELECT *, whole + CASE WHEN q IS NOT NULL AND rest > 0 AND cum + size / CAST(2 AS DOUBLE) <= rest THEN 1 ELSE 0 END AS copies FROM r
+), p AS (
+  SELECT *, q IS NOT NULL AND rest > 0 AND cum + size <= rest AS picked FROM r
+)
+""" + "".join(f"""
+, g{i} AS (
+  SELECT * EXCLUDE (picked), picked AS picked{i}, CASE WHEN rest > 0 THEN rest - sum(CASE WHEN picked THEN size ELSE 0 END) OVER (PARTITION BY sid) END AS gap{i} FROM {"p" if i == 0 else f"p{i}"}
+), n{i} AS (
+  SELECT *, row_number() OVER (PARTITION BY sid, picked{i}, q IS NULL ORDER BY abs(gap{i} - size), q, doc_id, size) AS near{i} FROM g{i}
+), p{i + 1} AS (
+  SELECT *, picked{i} OR coalesce(q IS NOT NULL AND near{i} = 1 AND abs(gap{i} - size) < gap{i}, false) AS picked FROM n{i}
+)
+""" for i in range(CLOSING)) + f"""
+, c AS (
+  SELECT *, whole + CASE WHEN picked THEN 1 ELSE 0 END AS copies FROM p{CLOSING}
 )
 SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies FROM c
 """
