@@ -68,7 +68,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES
             a = b
 
 
-def batch_table(docs: DataFrame, id_col: str, text_col: str, name: str, lower: bool = False) -> DataFrame:
+def batch_table(docs: DataFrame, id_col: str, text_col: str, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Write docs as (batch, n_words, sizes, payload); sizes[k] counts texts of k words, k < SIZES.
 
     payload: an Arrow stream of (doc_id, text), ordered by doc_id, compressed.
@@ -76,12 +76,12 @@ def batch_table(docs: DataFrame, id_col: str, text_col: str, name: str, lower: b
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        for batch in slices(rows, "text"):
+        for batch in slices(rows, "text", batch_bytes):
             table = pa.Table.from_batches([batch]).sort_by("doc_id")
             counts = Batch(*text_batch(table["text"])).counts
             sizes = np.bincount(counts[counts < SIZES], minlength=SIZES)
             yield pa.RecordBatch.from_pydict(
-                {"batch": pa.array([part << 32 | seq], pa.int64()), "n_words": pa.array([int(counts.sum())], pa.int64()), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())), "payload": pa.array([pack(table)], pa.binary())}
+                {"batch": pa.array([part << 20 | seq], pa.int64()), "n_words": pa.array([int(counts.sum())], pa.int64()), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())), "payload": pa.array([pack(table)], pa.binary())}
             )
             seq += 1
 
@@ -129,10 +129,10 @@ def ask(batches: DataFrame, request: Callable, answer: Callable, columns: str, r
 
 
 def meet(batches: DataFrame, replies: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """finish(payload, replies of the batch) for every batch."""
+    """finish(batch, payload, replies of the batch) for every batch."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         # a reply without its batch can't be: both come from the one written table
-        return pa.concat_tables([finish(x.as_py(), right) for x in left["payload"]])
+        return pa.concat_tables([finish(b, x.as_py(), right) for b, x in zip(left["batch"].to_pylist(), left["payload"], strict=True)])
 
     return batches.select("batch", "payload").groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(both, schema)

@@ -49,6 +49,8 @@ PIVOT_ROUNDS = 3
 SKETCH = 2048
 #: Lists of more members compare sketches in tasks, each on two chunks of at most CHUNK.
 SHORT_LIST, CHUNK = 16, 2048
+#: Bytes of text handled at once.
+BATCH = 4 << 20
 
 
 def needed(s: int, t: int) -> int:
@@ -153,13 +155,13 @@ def _answer(lead: int):
     return answer
 
 
-_SET_SCHEMA = "doc_id long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>"
+_SET_SCHEMA = "doc_id long, row long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>"
 
 
 def _finish(lead: int, light: int):
     heavy_from = -(-3 * (light + 1) // 4)
 
-    def finish(payload: bytes, replies: pa.Table) -> pa.Table:
+    def finish(batch: int, payload: bytes, replies: pa.Table) -> pa.Table:
         sets = _Sets(payload)
         rank = np.zeros(len(sets.keys), dtype=np.uint8)
         buckets, bounds = bucket_bounds(sets.keys, lead)
@@ -196,6 +198,7 @@ def _finish(lead: int, light: int):
         return pa.table(
             {
                 "doc_id": sets.ids.cast(pa.int64()),
+                "row": pa.array((batch << 20) + np.arange(sets.n_docs)),
                 "n": pa.array(sets.sizes, pa.int32()),
                 "set_a": pa.array(fp[0].view(np.int64)),
                 "set_b": pa.array(fp[1].view(np.int64)),
@@ -288,7 +291,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     returned as often as given. Other columns are ignored. An empty table gives an
     empty result. Sets are compared by 64-bit hashes of their shingles.
     """
-    batches = batch_table(docs, id_col, text_col, "ngram-batches")
+    batches = batch_table(docs, id_col, text_col, "ngram-batches", BATCH)
     n_words = batches.agg(F.sum("n_words")).first()[0] or 0
     words = dict(batches.select(F.posexplode("sizes").alias("k", "c")).groupBy("k").agg(F.sum("c")).collect())
     sizes = [0] * (SIZES - WORDS + 1)
@@ -302,13 +305,16 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     del replies, batches
     release(docs.sparkSession)
 
-    # copies of a set become one representative
+    # copies of a set become one representative; row numbers tell repeated rows apart
     live = all_sets.where("doc_id is not null and (shared is not null or subsets is not null)")
-    classes = live.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
-    owners = live.join(classes, ["set_a", "set_b", "n"])
-    reps = owners.where("doc_id = rep").dropDuplicates(["rep", "set_a", "set_b"])
-    owners = written(owners.select("doc_id", "rep").where("doc_id <> rep").distinct(), "ngram-owners")
-    sets = written(reps.select("rep", "n", "shared", "rarest", "sketch", "subsets"), "ngram-reps")
+    ids = live.select("doc_id", "row", "set_a", "set_b", "n")
+    classes = ids.groupBy("set_a", "set_b", "n").agg(F.min(F.struct("doc_id", "row")).alias("rep"))
+    owners = written(ids.join(classes, ["set_a", "set_b", "n"]).select("doc_id", F.col("rep.doc_id").alias("rep"), F.col("rep.row").alias("rep_row"), "row"), "ngram-owners")
+    one = owners.where("row = rep_row").select("row")
+    sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "n", "shared", "rarest", "sketch", "subsets"), "ngram-reps")
+    owners = owners.where("doc_id <> rep").select("doc_id", "rep").distinct()
+    del live, ids, classes, one
+    release(docs.sparkSession)
 
     # light sets: a shared subset is a link
     subsets = sets.where("subsets is not null").select(F.explode("subsets").alias("key"), "rep")
@@ -331,6 +337,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pivots = lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, n, comp), {by}) p"))
         links = _verified(_candidates(lists, pivots), heavy)
         found = connected_components(_star(found).unionByName(links), "ngram-components")
+        del left, pivots, links
+        release(docs.sparkSession)
     lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     short = lists.join(lengths.where(F.col("m") <= SHORT_LIST).select("key"), "key", "left_semi")
     pairs = _candidates(short, short.select("key", F.struct("rep", "n", "comp").alias("p")), "rep < p.rep")

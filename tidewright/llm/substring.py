@@ -111,7 +111,7 @@ _SCHEMA = "doc_id long, n_words long, n_removed long, n_factors long, spans arra
 
 
 def _finish(lead: int, k: int):
-    def finish(payload: bytes, replies: pa.Table) -> pa.Table:
+    def finish(batch: int, payload: bytes, replies: pa.Table) -> pa.Table:
         w = _Windows(payload, k)
         b = w.words
         # the earliest document of each key: in this batch, or in an answer
