@@ -73,8 +73,8 @@ def collapse_spaces(c: Column) -> Column:
 
 def strip_lines(c: Column) -> Column:
     """Each line stripped; newlines at both ends go."""
-    lines = F.regexp_replace(c, rf"(?U){BLANK}*\n{BLANK}*?(?=[^\s\x1c-\x1f\x85]|\n|\z)", "\n")
-    return F.regexp_replace(strip(lines), r"^\n+|\n+\z", "")
+    lines = F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
+    return F.regexp_replace(lines, r"^\n+|\n+\z", "")
 
 
 def clean_transcript(c: Column, lower_case: bool = True, keep: Iterable[str] | None = None, numerals: bool = False, replacements: Mapping[str, str] = REPLACEMENTS) -> Column:

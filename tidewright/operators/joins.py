@@ -48,24 +48,32 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str
     return df.join(found, F.col(key) == F.col("lookup_key_"), "left").withColumn(out, F.col("lookup_value_")).drop("lookup_key_", "lookup_value_")
 
 
+#: Phrases, and bytes of phrases, that are sent to every task at most.
+FEW_PHRASES, FEW_BYTES = 2000, 2 << 20
+
+
 def contains_join(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, words: int = 4) -> DataFrame:
     """Pairs of a row of texts and a row of phrases that its text contains; columns of both, which must differ.
 
-    Phrases of ``words`` words or more meet texts by one inner word n-gram of theirs, an
-    equi-join that is then verified; only shorter phrases, which can't be told by
-    a whole inner n-gram, are compared with all texts.
+    Few phrases, by a count made first, are broadcast and each text is searched for
+    all. Else phrases of ``words`` + 2 words or more meet texts by a word n-gram
+    inside them, an equi-join that is then verified, and only shorter ones, which no
+    whole inner n-gram can tell, are compared with all texts.
     """
-    inner = F.slice(F.split(F.col(phrase), " "), F.lit(2), F.lit(words))
     phrases = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != ""))
-    long = F.size(F.split(F.col(phrase), " ")) >= words + 2
-    grams = phrases.where(long).withColumn("gram_", F.array_join(inner, " "))
-    tokens = F.split(F.col(text), " ")
-    of_text = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - words + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, F.lit(words)), " ")))
-    left = texts.withColumn("gram_", F.explode(of_text))
     contained = F.contains(F.col(text), F.col(phrase))
+    size = phrases.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(phrase)), F.lit(0)).alias("b")).first()
+    if size.n <= FEW_PHRASES and size.b <= FEW_BYTES:
+        return texts.join(F.broadcast(phrases), contained)
+    parts = F.split(F.col(phrase), " ")
+    long = F.size(parts) >= words + 2
+    grams = phrases.where(long).withColumn("gram_", F.array_join(F.slice(parts, F.lit(2), F.lit(words)), " "))
+    # the words are a column of their own below the explode, so that they are split once
+    held = texts.withColumn("words_", F.split(F.col(text), " "))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words_") - words + 1, F.lit(1)))
+    left = held.withColumn("gram_", F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("words_", i, F.lit(words)), " "))))).drop("words_")
     met = left.join(grams, "gram_").where(contained).drop("gram_")
-    rest = texts.join(phrases.where(~long), contained)
-    return met.unionByName(rest)
+    return met.unionByName(texts.join(phrases.where(~long), contained))
 
 
 def zip_by_id(left: DataFrame, right: DataFrame, row_id: str) -> DataFrame:

@@ -1,15 +1,456 @@
-"""The queries over the driver's tables and their SQL."""
+"""The queries over the driver's tables and their SQL.
+
+The tables hold no audio and no Danish, so they map operators, not datasets:
+documents stand for transcripts, labels for metadata, benchmark for evaluation
+sentences, conversations for captions in order, embeddings for waveforms.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import arrays, scalars, text
+from ..functions.numerals import numerals_to_words
+from ..operators import filters, joins, metrics, mix, ngrams, scoring, vtt
+
+KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f: Callable) -> Callable:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# --- filters, limits, sets -------------------------------------------------
+
+
+@_query("SELECT doc_id, source, lang FROM documents WHERE source = 'src1' AND lang = 'en'")
+def row_filters(spark, sf):
+    return filters.row_filters(_t(spark, sf, "documents"), {"source": "src1", "lang": "en"}).select("doc_id", "source", "lang")
+
+
+@_query("SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS samples FROM documents WHERE len(string_split(text, ' ')) > 80 AND len(string_split(text, ' ')) < 960 AND regexp_matches(text, '\\S')")
+def nonempty_duration(spark, sf):
+    d = _t(spark, sf, "documents").withColumn("a", F.split("text", " "))
+    return filters.examples(d, "a", 16, "text", 5, 60).select("doc_id", F.size("a").alias("samples"))
+
+
+@_query("SELECT doc_id, toxic FROM labels WHERE toxic IS NULL OR toxic <> 1")
+def validation_flag(spark, sf):
+    d = _t(spark, sf, "labels").withColumn("validated", F.when(F.col("toxic") == 1, "rejected"))
+    return filters.not_rejected(d).select("doc_id", "toxic")
+
+
+@_query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) WHERE n % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000")
+def shard_scan(spark, sf):
+    lines = mix._numbered(_t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"])
+    return lines.where("row_ % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000").select("o_orderkey", "o_totalprice")
+
+
+@_query("SELECT event_id, value FROM events WHERE value > 1 AND value < 30")
+def manifest_duration(spark, sf):
+    return _t(spark, sf, "events").where("value > 1.0 AND value < 30.0").select("event_id", "value")
+
+
+@_query("SELECT count(*) - count(CASE WHEN toxic <> 1 THEN 1 END) AS removed FROM labels")
+def removed_rows(spark, sf):
+    d = _t(spark, sf, "labels")
+    return filters.removed(d, d.where("toxic <> 1"))
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100")
+def take_n(spark, sf):
+    return mix.take(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), 100, ["o_orderkey"])
+
+
+@_query("SELECT DISTINCT md5(text) AS text_md5 FROM documents")
+def dedupe_sentences(spark, sf):
+    return ngrams.distinct_sentences(_t(spark, sf, "documents"), "text").select(F.md5("text").alias("text_md5"))
+
+
+@_query("SELECT md5(text) AS text_md5, 'en' AS language FROM documents WHERE lang = 'en' UNION ALL SELECT md5(text), '' FROM conversations")
+def standardise_union(spark, sf):
+    docs = mix.standardise(_t(spark, sf, "documents").where("lang = 'en'"), "en")
+    both = mix.concatenate([docs, mix.standardise(_t(spark, sf, "conversations"))])
+    return both.select(F.md5("text").alias("text_md5"), "language")
+
+
+@_query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def missing_members(spark, sf):
+    orders = _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return joins.missing_members(_t(spark, sf, "customer"), orders, "c_custkey")
+
+
+# --- joins -----------------------------------------------------------------
+
+
+@_query("SELECT l.doc_id, quality, toxic, md5(text) AS text_md5 FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE regexp_matches(text, '\\S')")
+def transcript_join(spark, sf):
+    out = joins.transcript_join(_t(spark, sf, "labels"), _t(spark, sf, "documents"), "doc_id", "doc_id", "text")
+    return out.select("doc_id", "quality", "toxic", F.md5("text").alias("text_md5"))
+
+
+@_query("SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'")
+def lookup(spark, sf):
+    nation, region = _t(spark, sf, "nation"), _t(spark, sf, "region").where("r_name <> 'ASIA'")
+    out = joins.lookup(_t(spark, sf, "customer"), nation, "c_nationkey", "n_nationkey", "n_name", "n_name")
+    out = joins.lookup(out, nation, "c_nationkey", "n_nationkey", "n_regionkey", "region_key")
+    return joins.lookup(out, region, "region_key", "r_regionkey", "r_name", "r_name").select("c_custkey", "n_name", "r_name")
+
+
+@_query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND b.text <> ''")
+def contained_benchmark(spark, sf):
+    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("phrase"))
+    return joins.contains_join(_t(spark, sf, "documents").select("doc_id", "text"), b, "text", "phrase").select("doc_id", "item_id")
+
+
+@_query("""
+WITH m AS (
+  SELECT doc_id, array_agg(phrase ORDER BY length(phrase) DESC, phrase) AS p
+  FROM documents d JOIN (SELECT DISTINCT text AS phrase FROM benchmark WHERE text <> '') b ON contains(d.text, b.phrase) GROUP BY doc_id
+), r AS (
+  SELECT d.doc_id, CASE WHEN p IS NULL THEN text ELSE trim(regexp_replace(list_reduce(list_prepend(text, p), lambda a, b: replace(a, b, '')), ' +', ' ', 'g')) END AS text, p IS NOT NULL AS changed
+  FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id
+)
+SELECT doc_id, md5(text) AS text_md5, changed FROM r WHERE text <> ''
+""")
+def decontaminate(spark, sf):
+    out = ngrams.decontaminate(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"), "doc_id", "text", "text")
+    return out.select("doc_id", F.md5("text").alias("text_md5"), "changed")
+
+
+# --- text ------------------------------------------------------------------
+
+_FILLER = r"(^|[^\p{L}\p{N}_])(eh+m*|øh+m*|h+m+|m+h+)($|[^\p{L}\p{N}_])"
+
+
+def _sql_fillers(x: str) -> str:
+    # each match eats a separator, so neighbours need a second pass
+    for _ in range(2):
+        x = f"regexp_replace({x}, '{_FILLER}', '\\1\\3', 'gi')"
+    return x
+
+
+def _sql_replacements(x: str) -> str:
+    for a, b in text.REPLACEMENTS.items():
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+def _sql_lines(x: str) -> str:
+    lines = f"list_transform(string_split({x}, chr(10)), lambda l: regexp_replace(l, '^\\s+|\\s+$', '', 'g'))"
+    return f"regexp_replace(array_to_string({lines}, chr(10)), '^\\n+|\\n+$', '', 'g')"
+
+
+_CLEAN = _sql_replacements(_sql_fillers("lower(text)"))
+_KEPT = f"regexp_replace(regexp_replace({_CLEAN}, '^\\s+|\\s+$', '', 'g'), '(?i)[^{KEEP} |]', ' ', 'g')"
+
+
+@_query(f"SELECT doc_id, md5({_sql_lines(f'''regexp_replace({_CLEAN}, ' +', ' ', 'g')''')}) AS clean_md5 FROM documents")
+def clean_text(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.clean_transcript(F.col("text"))).alias("clean_md5"))
+
+
+@_query(f"SELECT doc_id, md5({_sql_lines(f'''regexp_replace({_KEPT}, ' +', ' ', 'g')''')}) AS clean_md5 FROM documents")
+def clean_text_keep(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.clean_transcript(F.col("text"), keep=KEEP)).alias("clean_md5"))
+
+
+@_query(f"SELECT doc_id, md5({_sql_fillers('lower(text)')}) AS clean_md5 FROM documents")
+def clean_filler(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.remove_fillers(F.lower("text"))).alias("clean_md5"))
+
+
+@_query(f"""
+WITH c AS (SELECT lang, {_sql_lines(f'''regexp_replace({_KEPT}, ' +', ' ', 'g')''')} AS t FROM documents)
+SELECT lang, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM c WHERE t <> '' GROUP BY lang
+""")
+def clean_by_language(spark, sf):
+    clean = _t(spark, sf, "documents").select("lang", text.clean_transcript(F.col("text"), keep=KEEP).alias("t"))
+    return clean.where(filters.has_text(F.col("t"))).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("t")).alias("chars"))
+
+
+@_query()
+def numerals(spark, sf):
+    d = _t(spark, sf, "documents").where(F.col("text").rlike(r"\d"))
+    return d.select("doc_id", F.md5(numerals_to_words(F.col("text"))).alias("spelled_md5"))
+
+
+@_query(r"""
+WITH p AS (
+  SELECT page_id, url, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+    regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[?#].*$', '') AS rest FROM pages
+), h AS (
+  SELECT *, regexp_replace(regexp_extract(rest, '^([^/]*)', 1), '^.*@', '') AS host, regexp_extract(rest, '^[^/]*(.*)$', 1) AS path FROM p
+)
+SELECT page_id, CASE WHEN url IS NULL THEN NULL WHEN scheme = '' OR host = '' THEN '<invalid URL>' ELSE scheme || '://' || host || path END AS url FROM h
+""")
+def sanitise_url(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", text.sanitise_url(F.col("url")).alias("url"))
+
+
+@_query("SELECT DISTINCT source, replace(lower('val_' || source || '_' || lang), '-', '_') AS name FROM documents")
+def split_names(spark, sf):
+    return _t(spark, sf, "documents").select("source", text.split_name(F.concat(F.lit("corpus/"), "source"), F.col("lang")).alias("name")).distinct()
+
+
+@_query(r"""
+WITH w AS (SELECT list_filter(string_split(text, ' '), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT n, unnest(list_transform(range(1, CAST(len(w) - n + 2 AS BIGINT)), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS ngram
+  FROM w, (SELECT unnest([1, 2, 3]) AS n) WHERE len(w) >= n
+)
+SELECT CAST(n AS INTEGER) AS n, ngram, count(*) AS count FROM g GROUP BY n, ngram HAVING count(*) > CASE WHEN n = 1 THEN 0 ELSE 1 END
+""")
+def ngram_counts(spark, sf):
+    return ngrams.ngram_counts(_t(spark, sf, "documents"), "text", 3)
+
+
+@_query("""
+WITH c AS (SELECT DISTINCT unnest(string_split(text, '')) AS char FROM documents UNION SELECT '|')
+SELECT char, row_number() OVER (ORDER BY char) - 1 AS id FROM c WHERE char <> ''
+""")
+def vocabulary(spark, sf):
+    return ngrams.vocabulary(_t(spark, sf, "documents"), "text")
+
+
+# --- captions --------------------------------------------------------------
+
+
+@_query(r"""
+WITH c AS (
+  SELECT conv_id, turn, text AS cur, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS prev FROM conversations
+), w AS (
+  SELECT *, list_filter(string_split(prev, ' '), lambda x: x <> '') AS a, list_filter(string_split(cur, ' '), lambda x: x <> '') AS b FROM c
+), k AS (
+  SELECT *, coalesce(list_max(list_filter(range(1, least(len(a), len(b)) + 1), lambda n: a[len(a) - n + 1:] = b[:n])), 0) AS k FROM w
+)
+SELECT conv_id, turn, md5(CASE WHEN prev = '' THEN cur WHEN prev = cur THEN '' WHEN starts_with(cur, prev) THEN regexp_replace(substr(cur, length(prev) + 1), '^\s+|\s+$', '', 'g')
+  WHEN k = 0 THEN cur ELSE array_to_string(b[k + 1:], ' ') END) AS rest_md5 FROM k
+""")
+def rolling_overlap(spark, sf):
+    before = F.coalesce(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")), F.lit(""))
+    return _t(spark, sf, "conversations").select("conv_id", "turn", F.md5(vtt.remove_overlap(before, F.col("text"))).alias("rest_md5"))
+
+
+@_query("SELECT event_id, substr(sha256(event_type || chr(0) || printf('%.3f', value) || chr(0) || printf('%.3f', value + 1.5) || chr(0) || props), 1, 24) AS id FROM events")
+def cue_ids(spark, sf):
+    return _t(spark, sf, "events").select("event_id", scalars.cue_id(F.col("event_type"), F.col("value"), F.col("value") + 1.5, F.col("props")).alias("id"))
+
+
+@_query()
+def caption_parse(spark, sf):
+    """Conversations written as WebVTT files, and parsed again."""
+    clock = F.format_string("%02d:%02d:%02d.000", F.floor(F.col("turn") / 3600), F.floor(F.col("turn") / 60) % 60, F.col("turn") % 60)
+    after = F.format_string("%02d:%02d:%02d.500", F.floor(F.col("turn") / 3600), F.floor(F.col("turn") / 60) % 60, F.col("turn") % 60)
+    cue = F.concat(clock, F.lit(" --> "), after, F.lit(" align:start\n<c>"), F.regexp_replace("text", r"\s+", " "), F.lit("</c>"))
+    files = _t(spark, sf, "conversations").groupBy("conv_id").agg(F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", cue.alias("cue")))), lambda x: x["cue"]), "\n\n")).alias("content"))
+    out = vtt.cues(files.withColumn("path", F.col("conv_id").cast("string")))
+    return out.select(F.col("path").cast("long").alias("conv_id"), "block", "start", "end", F.md5("text").alias("text_md5"), "status")
+
+
+# --- speakers and scores ---------------------------------------------------
+
+_AGE = "CASE WHEN age < 25 THEN '0-25' WHEN age < 50 THEN '25-50' ELSE '50+' END"
+
+
+@_query(f"""
+WITH c AS (
+  SELECT c_custkey, c_custkey % 90 AS age, CASE c_nationkey % 4 WHEN 0 THEN 'fynsk' WHEN 1 THEN 'lollandsk' WHEN 2 THEN 'østjysk' END AS sub,
+    CASE WHEN c_nationkey % 5 = 0 THEN 'SE' WHEN c_nationkey % 5 < 3 THEN 'DK' END AS born FROM customer
+)
+SELECT c_custkey, {_AGE} AS age_group, CASE WHEN coalesce(born, 'DK') <> 'DK' THEN 'Non-native' WHEN sub = 'fynsk' THEN 'Fynsk' WHEN sub = 'lollandsk' THEN 'Sydømål' WHEN sub = 'østjysk' THEN 'Østjysk' END AS dialect FROM c
+""")
+def age_dialect(spark, sf):
+    c, n = _t(spark, sf, "customer"), F.col("c_nationkey")
+    sub = F.when(n % 4 == 0, "fynsk").when(n % 4 == 1, "lollandsk").when(n % 4 == 2, "østjysk")
+    born = F.when(n % 5 == 0, "SE").when(n % 5 < 3, "DK")
+    return c.select("c_custkey", scalars.age_group(F.col("c_custkey") % 90).alias("age_group"), scalars.dialect(sub, born).alias("dialect"))
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled English documents as transcripts, with a prediction that drops and changes letters."""
+    d = _t(spark, sf, "documents").where("lang = 'en'").join(_t(spark, sf, "labels"), "doc_id")
+    ref = F.regexp_replace(F.lower(F.substring("text", 1, 80)), "[^a-z ]", " ")
+    hyp = F.regexp_replace(F.regexp_replace(ref, "th", "t"), "e[rn] ", "es ")
+    return d.select("doc_id", F.concat(F.lit("age"), (F.col("doc_id") % 3).cast("string")).alias("age_group"), F.when(F.col("doc_id") % 7 > 0, F.when(F.col("doc_id") % 2 == 0, "female").otherwise("male")).alias("gender"), F.col("source").alias("dialect"), ref.alias("text"), hyp.alias("prediction"))
+
+
+def _cube_sql() -> str:
+    cats, bits = ["age_group", "gender", "dialect"], [4, 2, 1]
+    keep, joined = [], ""
+    for i in range(3):
+        for what, upto in (("b", i), ("a", i + 1)):
+            mask = sum(bits[upto:])
+            on = " AND ".join([f"{what}{i}.gid = (c.gid | {mask})", *[f"{what}{i}.{x} IS NOT DISTINCT FROM c.{x}" for x in cats[:upto]]])
+            # the prefix has "any" from there on
+            joined += f" LEFT JOIN cube {what}{i} ON ({what}{i}.gid & {mask}) = {mask} AND " + on.replace(f"(c.gid | {mask})", f"(c.gid | {mask})")
+        keep.append(f"((c.gid & {bits[i]}) <> 0 OR (a{i}.n > 0 AND a{i}.n < b{i}.n))")
+    some = " AND ".join(f"((g & {b}) <> 0 OR {x} IS NOT NULL)" for x, b in zip(cats, bits, strict=True))
+    return f"""
+WITH s AS (
+  SELECT 'age' || (d.doc_id % 3) AS age_group, CASE WHEN d.doc_id % 7 > 0 THEN CASE WHEN d.doc_id % 2 = 0 THEN 'female' ELSE 'male' END END AS gender, source AS dialect,
+    regexp_replace(lower(substr(text, 1, 80)), '[^a-z ]', ' ', 'g') AS ref FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE lang = 'en'
+), e AS (
+  SELECT *, regexp_replace(regexp_replace(ref, 'th', 't', 'g'), 'e[rn] ', 'es ', 'g') AS hyp FROM s
+), u AS (
+  SELECT age_group, gender, dialect, levenshtein(trim(ref), trim(hyp)) AS lev, length(trim(ref)) AS len FROM e
+), g AS (
+  SELECT age_group, gender, dialect, grouping_id(age_group, gender, dialect) AS g, count(*) AS n, sum(lev) AS lev, sum(len) AS len FROM u GROUP BY CUBE (age_group, gender, dialect)
+), cube AS (
+  SELECT age_group, gender, dialect, g AS gid, n, lev, len FROM g WHERE {some}
+)
+SELECT c.age_group, c.gender, c.dialect, c.n, CASE WHEN c.len > 0 THEN CAST(c.lev AS DOUBLE) / c.len END AS cer FROM cube c {joined} WHERE {" AND ".join(keep)}
+"""
+
+
+@_query(_cube_sql())
+def score_cube(spark, sf):
+    """Corpus character error rates, by combinations of age, gender and dialect."""
+    rows = _scored(spark, sf).withColumn("c", metrics.char_edits(F.col("text"), F.col("prediction")))
+    cer = metrics.rate(*[F.sum(f"c.{x}") for x in "sdih"], normalise=False)
+    return scoring.pruned_cube(rows, ["age_group", "gender", "dialect"], {"cer": cer})
+
+
+@_query()
+def score_cube_normalised(spark, sf):
+    rows = _scored(spark, sf).withColumn("c", metrics.char_edits(F.col("text"), F.col("prediction"))).withColumn("w", metrics.word_edits(F.col("text"), F.col("prediction")))
+    rates = {name: metrics.rate(*[F.sum(f"{e}.{x}") for x in "sdih"]) for name, e in (("cer", "c"), ("wer", "w"))}
+    return scoring.pruned_cube(rows, ["age_group", "gender", "dialect"], rates)
+
+
+@_query()
+def cer_by_turn(spark, sf):
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    pairs = _t(spark, sf, "conversations").select("conv_id", F.substring("text", 1, 200).alias("t"), F.substring(before, 1, 200).alias("p")).where("p is not null")
+    return metrics.error_rate(pairs.withColumn("c", metrics.char_edits(F.col("p"), F.col("t"))), "c", "cer", ["conv_id"])
+
+
+@_query("""
+WITH r AS (SELECT event_id, regexp_replace(event_type, '[^a-z]', '', 'g') AS a, regexp_replace(reverse(event_type), '[^a-z]', '', 'g') AS b FROM events)
+SELECT event_id, levenshtein(a, b) / CAST(length(a) AS DOUBLE) AS cer FROM r WHERE length(a) > 0 AND levenshtein(a, b) / CAST(length(a) AS DOUBLE) < 0.9
+""")
+def cer_filter(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", F.regexp_replace("event_type", "[^a-z]", "").alias("a"), F.regexp_replace(F.reverse("event_type"), "[^a-z]", "").alias("b"))
+    # alignments are costly: one for each distinct pair, then a join
+    pairs = e.select("a", "b").distinct().withColumn("c", metrics.char_edits(F.col("a"), F.col("b"))).withColumn("cer", metrics.row_rate(F.col("c"), normalise=False))
+    return e.join(pairs.where(filters.below_rate(F.col("cer"), 0.9)), ["a", "b"]).select("event_id", "cer")
+
+
+# --- mixing ----------------------------------------------------------------
+
+
+@_query("SELECT source, count(*) / CAST((SELECT count(*) FROM documents) AS DOUBLE) * 1000 * 60 / count(*) AS epochs FROM documents GROUP BY source")
+def exposure(spark, sf):
+    d = _t(spark, sf, "documents")
+    per = d.groupBy("source").agg(F.count(F.lit(1)).alias("nominal_rows")).join(F.broadcast(d.agg(F.count(F.lit(1)).alias("all_"))))
+    return mix.exposure(per.withColumn("probability", F.col("nominal_rows") / F.col("all_")), 1000, 60).select("source", "epochs")
+
+
+@_query("SELECT lang AS language, round(sum(p), 9) AS share FROM (SELECT lang, source, count(*) / CAST((SELECT count(*) FROM documents) AS DOUBLE) AS p FROM documents GROUP BY lang, source) GROUP BY lang")
+def language_share(spark, sf):
+    d = _t(spark, sf, "documents")
+    per = d.groupBy(F.col("lang").alias("language"), "source").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(d.agg(F.count(F.lit(1)).alias("all_"))))
+    return mix.language_share(per.withColumn("probability", F.col("n") / F.col("all_"))).select("language", F.round("share", 9).alias("share"))
+
+
+@_query()
+def interleave(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", "lang")
+    parts = [d.where(F.col("lang") == x) for x in ("en", "fr", "de")]
+    return mix.interleave(parts, ["doc_id"], seed=4242, probabilities=[0.5, 0.3, 0.2])
+
+
+@_query()
+def seeded_shuffle(spark, sf):
+    return mix.seeded_shuffle(_t(spark, sf, "orders").select("o_orderkey"), 4242, "o_orderkey")
+
+
+@_query("""
+WITH n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS r FROM lineitem)
+SELECT r // 60 AS batch, count(*) AS rows, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM n WHERE r // 60 < (SELECT count(*) FROM lineitem) // 60 GROUP BY r // 60
+""")
+def batches(spark, sf):
+    out = mix.batches(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 60)
+    return out.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_linenumber").alias("lines"))
+
+
+# --- arrays ----------------------------------------------------------------
+
+_LABELS_SQL = "SELECT l_orderkey AS id, l_orderkey // 8 AS batch, array_agg(l_partkey ORDER BY l_linenumber, l_partkey) AS labels FROM lineitem GROUP BY l_orderkey"
+
+
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("r"))
+    return rows.select("id", F.floor(F.col("id") / 8).alias("batch"), F.col("r.l_partkey").cast("array<bigint>").alias("labels"))
+
+
+@_query(f"""
+WITH l AS ({_LABELS_SQL}), w AS (SELECT *, max(len(labels)) OVER (PARTITION BY batch) AS width FROM l)
+SELECT id, array_to_string(list_resize(labels, width, -100), ',') AS padded, array_to_string(list_resize(list_transform(labels, lambda x: 1), width, 0), ',') AS mask FROM w
+""")
+def pad_longest(spark, sf):
+    width = arrays.batch_width(F.size("labels"), Window.partitionBy("batch"))
+    rows = _labels(spark, sf).withColumn("width", width)
+    return rows.select("id", F.array_join(arrays.pad_labels(F.col("labels"), F.col("width")).cast("array<string>"), ",").alias("padded"), F.array_join(arrays.attention_mask(F.size("labels"), F.col("width")).cast("array<string>"), ",").alias("mask"))
+
+
+@_query(f"""
+WITH l AS ({_LABELS_SQL})
+SELECT id, array_to_string(list_concat([7, 8, 9], labels[:3]), ',') AS decoder, array_to_string(list_concat([-100, -100], labels[:3], [2]), ',') AS labels FROM l
+""")
+def prompt_labels(spark, sf):
+    prompt = F.array(*[F.lit(x) for x in (7, 8, 9)])
+    decoder, labels = arrays.prompt_batch_row(prompt, F.col("labels"), 2, max_length=6)
+    return _labels(spark, sf).select("id", F.array_join(decoder.cast("array<string>"), ",").alias("decoder"), F.array_join(labels.cast("array<string>"), ",").alias("labels"))
+
+
+@_query(f"WITH l AS ({_LABELS_SQL}) SELECT id, CASE WHEN id % 3 = 0 THEN true ELSE id % 3 = 1 END AS valid FROM l")
+def transducer_check(spark, sf):
+    rows = _labels(spark, sf)
+    given = F.when(F.col("id") % 3 == 1, arrays.transducer_inputs(F.col("labels"), 0)).when(F.col("id") % 3 == 2, F.col("labels"))
+    return rows.select("id", arrays.transducer_is_valid(given, F.col("labels"), 0).alias("valid"))
+
+
+@_query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE) / list_max(list_transform(embedding, lambda y: abs(CAST(y AS DOUBLE))))))), 6) AS total FROM embeddings")
+def peak_normalise(spark, sf):
+    a = arrays.peak_normalise(F.col("embedding").cast("array<double>"))
+    return _t(spark, sf, "embeddings").select("vec_id", F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + F.abs(x)), 6).alias("total"))
+
+
+@_query("SELECT vec_id, list_position(embedding, list_max(embedding)) - 1 AS best FROM embeddings")
+def logits_argmax(spark, sf):
+    return _t(spark, sf, "embeddings").select("vec_id", arrays.argmax(F.col("embedding")).cast("int").alias("best"))
+
+
+@_query("SELECT vec_id, len(embedding) / CAST(16 AS DOUBLE) AS seconds, CAST(list_resize(embedding[:80], 80, 0)[80] AS DOUBLE) AS last FROM embeddings")
+def fit_length(spark, sf):
+    a = arrays.fit_length(F.col("embedding").cast("array<double>"), 80, F.lit(0.0))
+    return _t(spark, sf, "embeddings").select("vec_id", arrays.num_seconds(F.col("embedding"), 16).alias("seconds"), F.element_at(a, 80).alias("last"))
+
+
+@_query("SELECT n_nationkey, least(CAST(300 AS DOUBLE), 2.5 * pow(2, least(n_nationkey, 7))) AS delay FROM nation")
+def retry_delay(spark, sf):
+    return _t(spark, sf, "nation").select("n_nationkey", scalars.retry_delay(F.col("n_nationkey"), 2.5, 300.0).alias("delay"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
