@@ -75,14 +75,19 @@ def boundary(sizes: list[int]) -> int:
     return min(range(1, MOST_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-def subset_keys(shingles: np.ndarray) -> list[int]:
-    """Keys of all subsets of a light set (sorted, distinct hashes)."""
-    n, out = len(shingles), []
+def subset_keys(shingles: np.ndarray) -> tuple[list[int], list[int]]:
+    """Keys of all subsets of a light set (sorted, distinct hashes): as the smaller set of a pair, and as the larger.
+
+    A key holds both sizes. Sets link if they share a key that one of them has as
+    the smaller set; two that share one as the larger set need not.
+    """
+    n, out = len(shingles), ([], [])
     for s, t, k in subset_shapes(n):
         rows = np.array(list(combinations(range(n), k)), dtype=np.int64)
         tag = np.uint64((s << 32) + t)
-        out.append(mix((shingles[rows] * factors(k)).sum(axis=1, dtype=np.uint64) + mix(np.array([tag]))))
-    return np.concatenate(out).view(np.int64).tolist() if out else []
+        keys = mix((shingles[rows] * factors(k)).sum(axis=1, dtype=np.uint64) + mix(np.array([tag])))
+        out[s < n].extend(keys.view(np.int64).tolist())
+    return out
 
 
 class _Sets:
@@ -155,7 +160,7 @@ def _answer(lead: int):
     return answer
 
 
-_SET_SCHEMA = "doc_id long, row long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>"
+_SET_SCHEMA = "doc_id long, row long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>, supersets array<long>"
 
 
 def _finish(lead: int, light: int):
@@ -179,12 +184,12 @@ def _finish(lead: int, light: int):
             fp[0, filled] = np.add.reduceat(mix(keys), begins)
             fp[1, filled] = np.add.reduceat(mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)), begins)
         in_many = np.bincount(sets.docs[order], weights=rank > 0, minlength=sets.n_docs)
-        shared, rarest, sketch, subsets = ([None] * sets.n_docs for _ in range(4))
+        shared, rarest, sketch, subsets, supersets = ([None] * sets.n_docs for _ in range(5))
         for d in filled[sets.known[filled]]:
             n, e = int(sets.sizes[d]), int(ends[d])
             own, own_rank = keys[e - n : e], rank[e - n : e]
             if n <= light:
-                subsets[d] = subset_keys(own)
+                subsets[d], supersets[d] = subset_keys(own)
             least = -(-3 * n // 4)
             if in_many[d] < least:
                 continue
@@ -206,6 +211,7 @@ def _finish(lead: int, light: int):
                 "rarest": pa.array(rarest, pa.list_(pa.int64())),
                 "sketch": pa.array(sketch, pa.list_(pa.int64())),
                 "subsets": pa.array(subsets, pa.list_(pa.int64())),
+                "supersets": pa.array(supersets, pa.list_(pa.int64())),
             }
         )
 
@@ -311,15 +317,16 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = ids.groupBy("set_a", "set_b", "n").agg(F.min(F.struct("doc_id", "row")).alias("rep"))
     owners = written(ids.join(classes, ["set_a", "set_b", "n"]).select("doc_id", F.col("rep.doc_id").alias("rep"), F.col("rep.row").alias("rep_row"), "row"), "ngram-owners")
     one = owners.where("row = rep_row").select("row")
-    sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "n", "shared", "rarest", "sketch", "subsets"), "ngram-reps")
+    sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "n", "shared", "rarest", "sketch", "subsets", "supersets"), "ngram-reps")
     owners = owners.where("doc_id <> rep").select("doc_id", "rep").distinct()
     del live, ids, classes, one
     release(docs.sparkSession)
 
-    # light sets: a shared subset is a link
-    subsets = sets.where("subsets is not null").select(F.explode("subsets").alias("key"), "rep")
-    first = subsets.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    light_edges = subsets.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b"))
+    # light sets: those that have a key as the smaller set link with all that have it
+    smaller = sets.where("subsets is not null").select(F.explode("subsets").alias("key"), "rep")
+    larger = sets.where("supersets is not null").select(F.explode("supersets").alias("key"), "rep")
+    first = smaller.groupBy("key").agg(F.min("rep").alias("a"))
+    light_edges = smaller.unionAll(larger).join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b"))
 
     # heavy sets: inverted lists of their rarest shared shingles
     lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "n")
