@@ -5,7 +5,7 @@ class; a small transducer over the classes marks where pieces begin. Its
 transition functions compose associatively, and the functions that compositions
 can reach are few, so each is a number and a table composes two of them. The
 scan folds all chunks of a batch side by side, one column at a time, then the
-chunks' totals, then every place, and reads the boundaries from the states.
+chunks' totals, then reads the boundaries at every place.
 
 The pieces, as byte slices, are told apart by hash and bytes; each distinct one
 is merged once and cached. Ids are gathered for all pieces at once. Offsets of
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,10 @@ LETTER, NUMBER, OTHER, SPACE, BLANK, SPACE_LAST, BLANK_LAST, QUOTE1, QUOTE2, STA
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Code points of the White_Space property.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Cached pieces of a worker; the cache is emptied beyond.
-CACHE = 400_000
+#: Cached pieces of a worker, and the bytes of the longest; the cache is emptied beyond.
+CACHE, LONGEST = 600_000, 64
+#: New pieces of so many bytes are merged side by side, longer ones one by one.
+SHORT = 32
 #: Bytes of text encoded at once.
 SLICE = 4 << 20
 
@@ -87,11 +90,22 @@ def _begins(state: int, c: int) -> bool:
     return state != kind
 
 
+#: A class of a text's first code point counts this much more; NOTHING fills up a grid.
+FIRST, NOTHING, COLUMNS = 10, 20, 21
+
+
 @lru_cache(1)
-def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(function of each class, composition table, state each function leads to from DONE, boundary by state and class)."""
-    own = [tuple(_step(s, c) for s in range(8)) for c in range(10)]
-    known = {f: i for i, f in enumerate(dict.fromkeys([tuple(range(8)), *own]))}
+def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(composition table, the same with one class after it, whether a piece begins at a class after it), by function number.
+
+    The functions are those that compositions of the classes' own reach; 0 is the identity.
+    """
+    fresh = tuple(_step(s, START) for s in range(8))
+    own = [tuple(_step(s, c) for s in range(8)) for c in range(FIRST)]
+    own += [tuple(own[c][x] for x in fresh) for c in range(FIRST)] + [tuple(range(8))]
+    known = {tuple(range(8)): 0}
+    for f in own:
+        known.setdefault(f, len(known))
     todo = list(known)
     while todo:
         f = todo.pop()
@@ -101,33 +115,34 @@ def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
                     known[h] = len(known)
                     todo.append(h)
     functions = list(known)
-    table = np.array([[known[tuple(g[x] for x in f)] for g in functions] for f in functions], dtype=np.uint16)
-    of_class = np.array([known[f] for f in own], dtype=np.uint16)
-    from_done = np.array([f[DONE] for f in functions], dtype=np.uint8)
-    begins = np.array([[_begins(s, c) for c in range(10)] for s in range(8)])
-    return of_class, table, from_done, begins
+    table = np.array([[known[tuple(g[x] for x in f)] for g in functions] for f in functions], dtype=np.int32)
+    then = np.array([[known[tuple(g[x] for x in f)] for g in own] for f in functions], dtype=np.int32)
+    begins = np.array([[_begins(DONE if c >= FIRST else f[DONE], c % FIRST) for c in range(NOTHING)] + [False] for f in functions])
+    return table, then, begins
 
 
-def _scan(f: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """For each place, the composition of all functions before it."""
-    n = len(f)
+def _scan(c: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each place: all chunks of c side by side, by the composition of the functions before it."""
+    table, then, begins = _monoid()
+    n = len(c)
     width = max(16, int(n**0.5) // 4)
     rows = -(-n // width)
-    grid = np.zeros(rows * width, dtype=np.uint16)  # 0 is the identity
-    grid[:n] = f
+    grid = np.full(rows * width, NOTHING, dtype=np.uint8)
+    grid[:n] = c
     grid = np.ascontiguousarray(grid.reshape(rows, width).T)
-    flat, size = table.ravel(), np.int64(len(table))
-    total = grid[0].copy()
-    for column in grid[1:]:
-        total = flat[total * size + column]
-    before, now = np.zeros(rows, dtype=np.uint16), 0
+    then, begins = then.ravel(), begins.ravel()
+    total = np.zeros(rows, dtype=np.int32)
+    for column in grid:
+        total = then.take(total * COLUMNS + column)
+    before, now = np.zeros(rows, dtype=np.int32), 0
     for i, x in enumerate(total.tolist()):
         before[i] = now
         now = table[now, x]
-    out = np.empty_like(grid)
+    out = np.empty(grid.shape, dtype=bool)
     for i, column in enumerate(grid):
-        out[i] = before
-        before = flat[before * size + column]
+        at = before * COLUMNS + column
+        begins.take(at, out=out[i])
+        before = then.take(at)
     return out.T.ravel()[:n]
 
 
@@ -136,7 +151,7 @@ def boundaries(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(codes)
     if not n:
         return np.zeros(0, dtype=bool)
-    c = _classes()[codes]
+    c = _classes().take(codes)
     white = (c == SPACE) | (c == BLANK)
     # the last blank of a run stands apart if a text's visible character follows
     opens = np.zeros(n + 3, dtype=bool)
@@ -144,8 +159,7 @@ def boundaries(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     opens[n:] = True
     last = np.zeros(n, dtype=bool)
     last[:-1] = white[:-1] & ~white[1:] & ~opens[1:n]
-    c[last & (c == SPACE)] = SPACE_LAST
-    c[last & (c == BLANK)] = BLANK_LAST
+    c += last * np.uint8(SPACE_LAST - SPACE)
     quote = np.flatnonzero(codes == 0x27)
     if len(quote):
         padded = np.concatenate((codes, [0, 0]))
@@ -159,14 +173,9 @@ def boundaries(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
                 two |= (next1 == ord(x[0])) & (next2 == ord(x[1]))
         c[quote[one]] = QUOTE1
         c[quote[two & ~one]] = QUOTE2
-    of_class, table, from_done, begins = _monoid()
-    # each text starts afresh: the function of a text's first code point ignores what came before
-    f = of_class[c]
-    begin = np.unique(first[first < n])
-    f[begin] = table[of_class[START], f[begin]]
-    state = from_done[_scan(f, table)]
-    state[begin] = DONE
-    return begins[state, c]
+    # each text starts afresh: what came before its first code point is forgotten
+    c[np.unique(first[first < n])] += np.uint8(FIRST)
+    return _scan(c)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -209,6 +218,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _places(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ..., n[0] of them, then those of the next."""
+    total = np.cumsum(n)
+    return np.repeat(begin - (total - n), n) + np.arange(total[-1] if len(total) else 0)
+
+
+#: The rank of a pair that makes no token.
+NEVER = 1 << 40
+
+
 class Encoder:
     """Encodes and decodes batches with one vocabulary; kept by each worker."""
 
@@ -220,7 +239,17 @@ class Encoder:
         self.widths = np.array([len(t) for t in tokens], dtype=np.int64)
         self.offsets = np.concatenate(([0], np.cumsum(self.widths)))
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        self.cache: dict[bytes, list[int]] = {}
+        # the pairs of tokens that make a token
+        pairs = {self.ranks[t[:k]] << 32 | self.ranks[t[k:]]: r for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
+        self.pairs, self.joined = pd.Index(np.fromiter(pairs, dtype=np.int64)), np.append(np.fromiter(pairs.values(), dtype=np.int64), NEVER)
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self._empty_cache()
+
+    def _empty_cache(self) -> None:
+        """The cache: by a piece's hash a row of (ids, bytes) in flat arrays."""
+        self.known = pd.Index(np.zeros(0, dtype=np.uint64))
+        self.ids, self.id_bounds = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.text, self.text_bounds = np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
 
     def pieces(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts of the pieces, their number before each text), in bytes."""
@@ -246,31 +275,126 @@ class Encoder:
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets), dtype=np.int64)
         ends = np.append(starts[1:], len(data))
         h = span_hashes(data, starts, ends)
-        _, which, kind = np.unique(h, return_index=True, return_inverse=True)
+        kind, distinct = pd.factorize(h)
+        which = np.empty(len(distinct), dtype=np.int64)
+        which[kind[::-1]] = np.arange(len(h) - 1, -1, -1)
         if not self._same(data, starts, ends, starts[which][kind]):
             # two pieces with one hash: tell all apart by their bytes
             seen: dict[bytes, int] = {}
             kind = np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip(starts, ends, strict=True)])
             which = np.unique(kind, return_index=True)[1]
-        lists = []
-        for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True):
-            piece = data[a:b]
-            ids = self.cache.get(piece)
-            if ids is None:
-                ids = merge(piece, self.ranks)
-                if len(piece) <= 64:
-                    if len(self.cache) >= CACHE:
-                        self.cache.clear()
-                    self.cache[piece] = ids
-            lists.append(ids)
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
+            rows = self._rows(data, starts[which], ends[which], np.zeros(0, dtype=np.uint64))
+        else:
+            rows = self._rows(data, starts[which], ends[which], distinct)
+        sizes, begin = np.diff(rows[1]), rows[1][:-1]
         n = sizes[kind]
         total = np.concatenate(([0], np.cumsum(n)))
-        ids = flat[np.repeat(begin[kind] - total[:-1], n) + np.arange(total[-1])]
+        ids = rows[0][np.repeat(begin[kind] - total[:-1], n) + np.arange(total[-1])]
         return ids, total[per_text]
 
+    def _rows(self, data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of distinct pieces; with their hashes, by way of the cache."""
+        cached = len(hashes) == len(starts)
+        at = self.known.get_indexer(hashes) if cached else np.full(len(starts), -1)
+        hit = np.flatnonzero(at >= 0)
+        if len(hit) and not self._equal(data, starts[hit], ends[hit], at[hit]):
+            at[:], cached = -1, False
+        new = np.flatnonzero(at < 0)
+        flat, n = self._merged(data, starts[new], ends[new])
+        sizes = np.empty(len(starts), dtype=np.int64)
+        sizes[new] = n
+        old = at >= 0
+        sizes[old] = (self.id_bounds[at[old] + 1] - self.id_bounds[at[old]])
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        out = np.empty(bounds[-1], dtype=np.uint32)
+        out[_places(bounds[:-1][new], sizes[new])] = flat
+        out[_places(bounds[:-1][old], sizes[old])] = self.ids[_places(self.id_bounds[at[old]], sizes[old])]
+        if cached and len(new):
+            short = (ends - starts)[new] <= LONGEST
+            if len(self.known) + len(new) > CACHE:
+                self._empty_cache()
+            keep = new[short]
+            self.known = self.known.append(pd.Index(hashes[keep]))
+            self.ids = np.concatenate((self.ids, out[_places(bounds[:-1][keep], sizes[keep])]))
+            self.id_bounds = np.concatenate((self.id_bounds, self.id_bounds[-1] + np.cumsum(sizes[keep])))
+            length = (ends - starts)[keep]
+            self.text = np.concatenate((self.text, np.frombuffer(data, dtype=np.uint8)[_places(starts[keep], length)]))
+            self.text_bounds = np.concatenate((self.text_bounds, self.text_bounds[-1] + np.cumsum(length)))
+        return out, bounds
+
+    def _merged(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number for each piece) of pieces that are not cached.
+
+        Each round joins one pair of every short piece that still has one: the first
+        of least rank. Pieces are rows of a matrix, filled up with -1.
+        """
+        length = ends - starts
+        whole = [self.ranks.get(data[a:b], -1) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        whole = np.array(whole, dtype=np.int64)
+        lists: list[tuple[int, list[int]]] = [(i, merge(data[starts[i] : ends[i]], self.ranks)) for i in np.flatnonzero((whole < 0) & (length > SHORT))]
+        sizes = np.ones(len(starts), dtype=np.int64)
+        for i, x in lists:
+            sizes[i] = len(x)
+        many = np.flatnonzero((whole < 0) & (length <= SHORT))
+        many = many[np.argsort(length[many], kind="stable")]
+        found = []
+        for part in np.array_split(many, max(1, len(many) // 8192)):
+            if not len(part):
+                continue
+            width = int(length[part].max())
+            at = starts[part][:, None] + np.arange(width)
+            inside = np.arange(width) < length[part][:, None]
+            ids = np.where(inside, self.single[np.frombuffer(data, dtype=np.uint8)[np.minimum(at, len(data) - 1)]], -1)
+            rank = self._rank(ids[:, :-1], ids[:, 1:])
+            done = []
+            rows = part
+            while len(rows):
+                i = rank.argmin(axis=1)
+                every = np.arange(len(rows))
+                best = rank[every, i]
+                ended = best == NEVER
+                if ended.any():
+                    done.append((rows[ended], ids[ended]))
+                    rows, ids, rank, i, best = rows[~ended], ids[~ended], rank[~ended], i[~ended], best[~ended]
+                    every = np.arange(len(rows))
+                    if not len(rows):
+                        break
+                ids[every, i] = best
+                after = np.arange(ids.shape[1] - 1) > i[:, None]
+                ids[:, :-1] = np.where(after, ids[:, 1:], ids[:, :-1])
+                ids[:, -1] = -1
+                rank[:, :-1] = np.where(after[:, :-1], rank[:, 1:], rank[:, :-1])
+                rank[:, -1] = NEVER
+                nxt = ids[every, np.minimum(i + 1, ids.shape[1] - 1)]
+                rank[every, i] = self._rank(best, nxt)
+                left = np.flatnonzero(i > 0)
+                rank[left, i[left] - 1] = self._rank(ids[left, i[left] - 1], best[left])
+            found += done
+        for rows, ids in found:
+            sizes[rows] = (ids >= 0).sum(axis=1)
+        begin = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), dtype=np.uint32)
+        one = whole >= 0
+        out[begin[one]] = whole[one]
+        for i, x in lists:
+            out[begin[i] : begin[i] + len(x)] = x
+        for rows, ids in found:
+            out[_places(begin[rows], sizes[rows])] = ids[ids >= 0]
+        return out, sizes
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NEVER if it makes no token or lacks a side."""
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
+        return self.joined[self.pairs.get_indexer(key.ravel())].reshape(key.shape)
+
+    def _equal(self, data: bytes, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> bool:
+        """Whether the pieces have the bytes of their rows."""
+        n = self.text_bounds[rows + 1] - self.text_bounds[rows]
+        if (n != ends - starts).any():
+            return False
+        far = n > 8
+        return bool((np.frombuffer(data, dtype=np.uint8)[_places(starts[far], n[far])] == self.text[_places(self.text_bounds[rows[far]], n[far])]).all())
+
     @staticmethod
     def _same(data: bytes, starts: np.ndarray, ends: np.ndarray, models: np.ndarray) -> bool:
         """Whether each piece has the bytes of its model; pieces of up to 8 bytes and one length can't share a hash."""
