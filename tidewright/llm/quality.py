@@ -24,7 +24,7 @@ from .batches import slices, text_batch
 from .langid import held_out
 
 #: Bound of the labelled rows that the classifier is fitted on and broadcasts: those of the least hashed ids.
-SAMPLE = 4096
+SAMPLE = 3072
 DIMENSIONS = 64
 NEIGHBOURS = 32
 #: Similarities are raised to this power for the vote.
@@ -79,11 +79,12 @@ class Model:
 
 
 def _weighted(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Logarithmic frequencies by rarity; each half of length 1."""
-    x = np.log1p(x) * idf
+    """Logarithmic frequencies by rarity; each half of length 1. Done in place."""
+    np.log1p(x, out=x)
+    x *= idf
     for half in (x[:, :_HALF], x[:, _HALF:]):
-        length = np.sqrt((half * half).sum(axis=1, keepdims=True))
-        np.divide(half, length, out=half, where=length > 0)
+        length = np.sqrt(np.einsum("ij,ij->i", half, half))
+        half /= np.where(length > 0, length, 1)[:, None].astype(np.float32)
     return x
 
 
@@ -116,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for i, r in enumerate(got):
         x[i, np.frombuffer(r.at, dtype="<u2")] = np.frombuffer(r.value, dtype="<f4")
     y = np.array([r.label for r in got], dtype=np.float32)
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
+    del got
+    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))).astype(np.float32) + np.float32(0.1)
     x = _weighted(x, idf)
     size = min(DIMENSIONS, max(1, len(x)))
     q = np.random.default_rng(7).standard_normal((2 * _HALF, size + 16)).astype(np.float32)
