@@ -27,6 +27,8 @@ from .store import release, written
 
 LENGTH = 1024
 PER_SHARD = 1024
+#: Shards that a task writes one after the other.
+RANGE = 8
 ROUNDS = 8
 
 
@@ -113,13 +115,28 @@ def write_shards(docs: DataFrame, vocabulary: str, key: str, length: int = LENGT
     placed = cut.select("part", "row", "ids").mapInArrow(place, "slot long, ids binary").withColumn("shard", F.floor(F.col("slot") / per_shard))
     index = cut.select("part", "row", "doc_id", "seq", "n_tokens").mapInArrow(place, "slot long, doc_id long, seq int, n_tokens int")
 
-    def join(table: pa.Table) -> pa.Table:
-        table = table.sort_by("slot")
-        return pa.table({"shard": table["shard"][:1], "first_slot": table["slot"][:1], "n_slots": pa.array([table.num_rows], pa.int32()), "payload": pa.array([b"".join(table["ids"].to_pylist())], pa.binary())})
+    def join(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sequences in the order of slots -> shards; a task has whole shards only."""
+        now, first, held = -1, 0, []
 
-    # slots are a permutation: every shard but the last holds exactly per_shard sequences
-    parts = max(1, -(-n // (per_shard * 8)))
-    shards = written(placed.repartitionByRange(parts, "shard").groupBy("shard").applyInArrow(join, "shard long, first_slot long, n_slots int, payload binary"), "shards")
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"shard": pa.array([now], pa.int64()), "first_slot": pa.array([first], pa.int64()), "n_slots": pa.array([len(held)], pa.int32()), "payload": pa.array([b"".join(held)], pa.binary())})
+
+        for b in rows:
+            for shard, slot, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if shard != now:
+                    if held:
+                        yield made()
+                    now, first, held = shard, slot, []
+                held.append(ids)
+        if held:
+            yield made()
+
+    # slots are a permutation: every shard but the last holds exactly per_shard sequences, and every range RANGE shards
+    parts = max(1, -(-n // (per_shard * RANGE)))
+    ranged = placed.select("shard", "slot", "ids").repartitionById(parts, F.floor(F.col("shard") / RANGE).cast("int")).sortWithinPartitions("slot")
+    shards = written(ranged.mapInArrow(join, "shard long, first_slot long, n_slots int, payload binary"), "shards")
+    del ranged
     release(spark)
     return shards, index
 
