@@ -36,11 +36,11 @@ SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Code points of the White_Space property.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Cached pieces of a worker, and the bytes of the longest; the cache is emptied beyond.
-CACHE, LONGEST = 600_000, 64
+CACHE, LONGEST = 300_000, 64
 #: New pieces of so many bytes are merged side by side, longer ones one by one.
 SHORT = 32
 #: Bytes of text encoded at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 @lru_cache(1)
@@ -228,17 +228,31 @@ def _places(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
 NEVER = 1 << 40
 
 
-class Encoder:
-    """Encodes and decodes batches with one vocabulary; kept by each worker."""
+class Decoder:
+    """The bytes of a vocabulary's tokens."""
 
-    def __init__(self, path: str) -> None:
-        self.ranks = load_ranks(path)
-        tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, i in self.ranks.items():
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
             tokens[i] = token
         self.widths = np.array([len(t) for t in tokens], dtype=np.int64)
         self.offsets = np.concatenate(([0], np.cumsum(self.widths)))
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(bytes of all texts, their bounds by text)."""
+        n = self.widths[ids]
+        total = np.concatenate(([0], np.cumsum(n)))
+        out = self.bytes[np.repeat(self.offsets[ids] - total[:-1], n) + np.arange(total[-1])]
+        return out.tobytes(), total[bounds]
+
+
+class Encoder(Decoder):
+    """Encodes batches with one vocabulary; kept by each worker."""
+
+    def __init__(self, path: str) -> None:
+        self.ranks = load_ranks(path)
+        super().__init__(self.ranks)
         # the pairs of tokens that make a token
         pairs = {self.ranks[t[:k]] << 32 | self.ranks[t[k:]]: r for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
         self.pairs, self.joined = pd.Index(np.fromiter(pairs, dtype=np.int64)), np.append(np.fromiter(pairs.values(), dtype=np.int64), NEVER)
@@ -406,19 +420,17 @@ class Encoder:
         other = np.minimum(np.repeat(models[far], n) + step, len(buf) - 1)
         return bool((buf[np.repeat(starts[far], n) + step] == buf[other]).all())
 
-    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """(bytes of all texts, their bounds by text)."""
-        n = self.widths[ids]
-        total = np.concatenate(([0], np.cumsum(n)))
-        out = self.bytes[np.repeat(self.offsets[ids] - total[:-1], n) + np.arange(total[-1])]
-        return out.tobytes(), total[bounds]
-
 
 @lru_cache(4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(4)
+def decoder(path: str) -> Decoder:
+    return Decoder(load_ranks(path))
+
+
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: (doc_id, ids binary, n_tokens).
 
@@ -445,10 +457,10 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> Dat
     at = encoded.columns.index(ids_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own = decoder(vocabulary)
         for whole in rows:
-            for a in range(0, whole.num_rows, 1024):
-                batch = whole.slice(a, 1024)
+            for a in range(0, whole.num_rows, 256):
+                batch = whole.slice(a, 256)
                 column = batch.column(at)
                 lists = [b"" if x is None else x for x in column.to_pylist()]
                 bounds = np.concatenate(([0], np.cumsum([len(x) // 4 for x in lists]))).astype(np.int64)

@@ -79,12 +79,10 @@ def ngrams(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndar
     return buckets, ends, np.diff(letters)
 
 
-def _summed(by: str):
-    def run(table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x.as_py(), dtype="<i8") for x in table["counts"]], axis=0, dtype=np.int64)
-        return pa.table({"lang": table["lang"][:1], "part": table["part"][:1], "salt": pa.array([0], pa.int32()), "docs": pa.array([sum(table["docs"].to_pylist())], pa.int64()), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
-
-    return run
+def _summed(table: pa.Table) -> pa.Table:
+    """One row of the same language and part with the sums of all."""
+    total = np.sum([np.frombuffer(x.as_py(), dtype="<i8") for x in table["counts"]], axis=0, dtype=np.int64)
+    return pa.table({"lang": table["lang"][:1], "part": table["part"][:1], "salt": pa.array([0], pa.int32()), "docs": pa.array([sum(table["docs"].to_pylist())], pa.int64()), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
 
 _COUNTS = "lang string, part int, salt int, docs long, counts binary"
@@ -117,7 +115,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     partial = rows.mapInArrow(count, _COUNTS)
-    found = partial.groupBy("lang", "part", "salt").applyInArrow(_summed("salt"), _COUNTS).groupBy("lang", "part").applyInArrow(_summed("part"), _COUNTS)
+    found = partial.groupBy("lang", "part", "salt").applyInArrow(_summed, _COUNTS).groupBy("lang", "part").applyInArrow(_summed, _COUNTS)
     n = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
     if n > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: the model would be too large to broadcast")
