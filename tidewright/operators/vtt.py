@@ -15,10 +15,10 @@ NO_CUE = r"^(WEBVTT|NOTE|STYLE|REGION)"
 
 def seconds(c: Column) -> Column:
     """Seconds of [hours:]mm:ss.mmm, null if it is no time."""
-    part = [F.regexp_extract(c, TIME, i) for i in range(1, 5)]
-    hours = F.when(part[0] == "", F.lit(0)).otherwise(F.try_to_number(part[0], F.lit("999999")).cast("int"))
-    # the match is tested first, so the casts only see digits
-    value = hours * 3600 + F.expr("0") + part[1].try_cast("int") * 60 + part[2].try_cast("int") + part[3].try_cast("int") / 1000
+    hours, minutes, whole, part = (F.regexp_extract(c, TIME, i) for i in range(1, 5))
+    hours = F.when(hours == "", F.lit(0)).otherwise(hours.try_cast("bigint"))
+    # the casts give null, not an error, where there is no match
+    value = hours * 3600 + minutes.try_cast("int") * 60 + whole.try_cast("int") + part.try_cast("int") / 1000
     return F.when(c.rlike(TIME), value.cast("double"))
 
 
