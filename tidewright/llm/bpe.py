@@ -40,7 +40,7 @@ CACHE, LONGEST = 300_000, 64
 #: New pieces of so many bytes are merged side by side, longer ones one by one.
 SHORT = 32
 #: Bytes of text encoded at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 @lru_cache(1)
