@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 COUNTS = StructType([StructField(c, LongType()) for c in ("s", "d", "i", "h")])
+#: Above so many cells the alignment goes by diagonals first, and by the matrix only if the two are far apart.
+SMALL = 1 << 14
+#: Above so many cells it goes by diagonals only: the matrix of two long texts would not fit.
+MATRIX = 1 << 22
+#: Fronts between two that are kept; those of one such block are made again on the way back.
+BLOCK = 256
 
 
 def edit_operations(reference: Sequence, hypothesis: Sequence) -> tuple[int, int, int, int]:
@@ -30,6 +36,8 @@ def edit_operations(reference: Sequence, hypothesis: Sequence) -> tuple[int, int
     n, m = len(ref), len(hyp)
     if not n or not m:
         return 0, n, m, hits
+    if n * m > SMALL and (found := _by_diagonals(ref, hyp, n + m if n * m > MATRIX else (n + m) // 16)):
+        return *found[:3], found[3] + hits
     codes = {x: i for i, x in enumerate(dict.fromkeys([*ref, *hyp]))}
     r, h = np.array([codes[x] for x in ref]), np.array([codes[x] for x in hyp])
     cost = np.zeros((n + 1, m + 1), dtype=np.int32)
@@ -56,6 +64,87 @@ def edit_operations(reference: Sequence, hypothesis: Sequence) -> tuple[int, int
     return s, d, i, hits
 
 
+def _by_diagonals(ref: Sequence, hyp: Sequence, most: int) -> tuple[int, int, int, int] | None:
+    """As edit_operations, for two sequences that are not empty; None if the distance is over ``most``.
+
+    Takes time in proportion to the lengths and the square of the distance, and
+    memory of distance ** 2 / BLOCK and BLOCK * distance.
+
+    front(e)[k] is the largest x so that ref[:x] becomes hyp[:x + k] at a cost of e
+    at most. Costs never fall along a diagonal, so the fronts say of every cell
+    whether its cost is e or less, which is all that the way back asks.
+    """
+    n, m = len(ref), len(hyp)
+    codes = {x: i for i, x in enumerate(dict.fromkeys([*ref, *hyp]))}
+    kind = np.dtype(np.uint8 if len(codes) < 255 else np.uint16 if len(codes) < 65535 else np.uint32)
+    step = 8 // kind.itemsize
+    bits = 64 // step
+
+    def words(items: Sequence, end: int) -> np.ndarray:
+        # eight bytes from every place on; the ends differ, so no run goes past them
+        flat = np.array([codes[x] for x in items] + [len(codes) + end] * step, dtype=kind)
+        return np.lib.stride_tricks.sliding_window_view(flat, step).copy().view(np.uint64).ravel()
+
+    r, h = words(ref, 0), words(hyp, 1)
+
+    def slide(x: np.ndarray, low: int) -> None:
+        at = np.flatnonzero(x >= 0)
+        while len(at):
+            here = x[at]
+            differ = r[here] ^ h[here + at + low]
+            same = differ == 0
+            lowest = np.frexp((differ & (~differ + np.uint64(1))).astype(np.float64))[1] - 1
+            x[at] = here + np.where(same, step, lowest // bits)
+            at = at[same]
+
+    def after(e: int, low: int, x: np.ndarray) -> tuple[int, np.ndarray]:
+        """Front e from front e - 1, which begins at the diagonal low."""
+        first, last = max(-e, -n), min(e, m)
+        wide = np.full(last - first + 3, -2, dtype=np.int64)
+        wide[low - first + 1 : low - first + 1 + len(x)] = x
+        k = np.arange(first, last + 1)
+        new = np.maximum(np.maximum(wide[1:-1] + 1, wide[2:] + 1), wide[:-2])
+        new = np.minimum(np.minimum(new, n), m - k)
+        slide(new, first)
+        return first, new
+
+    start = np.zeros(1, dtype=np.int64)
+    slide(start, 0)
+    kept, block, e = [], [(0, start)], 0
+    while not 0 <= m - n - block[-1][0] < len(block[-1][1]) or block[-1][1][m - n - block[-1][0]] < n:
+        e += 1
+        if e > most:
+            return None
+        new = after(e, *block[-1])
+        if len(block) == BLOCK:
+            kept.append(block[0])
+            block = []
+        block.append(new)
+    begin = e - len(block) + 1
+
+    def reached(e: int, k: int, x: int) -> bool:
+        low, front = block[e - begin]
+        return 0 <= k - low < len(front) and front[k - low] >= x
+
+    s = d = i = hits = 0
+    x, y = n, m
+    while e:
+        if e - 1 < begin:
+            begin -= BLOCK
+            block = [kept.pop()]
+            while len(block) < BLOCK:
+                block.append(after(begin + len(block), *block[-1]))
+        if x and reached(e - 1, y - x + 1, x - 1):
+            d, x, e = d + 1, x - 1, e - 1
+        elif y and reached(e - 1, y - 1 - x, x):
+            i, y, e = i + 1, y - 1, e - 1
+        elif ref[x - 1] == hyp[y - 1]:
+            hits, x, y = hits + 1, x - 1, y - 1
+        else:
+            s, x, y, e = s + 1, x - 1, y - 1, e - 1
+    return s, d, i, hits + x
+
+
 def _words(text: str) -> list[str]:
     return [w for w in text.strip().split(" ") if w]
 
