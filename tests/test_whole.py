@@ -47,6 +47,20 @@ def test_score_cubes_take_whole_texts(spark, tmp_path, end):
         assert found[name] == pytest.approx(sum(sum(c[:3]) for c in counts) / sum(sum(c) for c in counts))
 
 
+def test_cer_by_turn_takes_whole_turns(spark, tmp_path):
+    rng = random.Random(3)
+    turns = [(c, t, "same start " * 20 + "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 150)))) for c in range(3) for t in range(4)]
+    path = _tables(spark, tmp_path, conversations=(turns, "conv_id long, turn int, text string"))
+    want = {}
+    for (c, _, p), (d, _, t) in zip(turns, turns[1:], strict=False):
+        if c == d:
+            counts = metrics.edit_operations(p.strip(), t.strip())
+            assert sum(counts[:3]) == _distance(p.strip(), t.strip())
+            want[c] = [x + y for x, y in zip(want.get(c, [0] * 4), counts, strict=True)]
+    got = {r.conv_id: r.cer for r in catalogue.cer_by_turn(spark, path).collect()}
+    assert got == {c: pytest.approx(sum(n[:3]) / sum(n)) for c, n in want.items()}
+
+
 def test_long_alignments_are_the_matrix_ones(monkeypatch):
     rng, cases = random.Random(4), []
     for _ in range(300):

@@ -346,7 +346,7 @@ def score_cube_normalised(spark, sf):
 @_query()
 def cer_by_turn(spark, sf):
     before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    pairs = _t(spark, sf, "conversations").select("conv_id", F.substring("text", 1, 200).alias("t"), F.substring(before, 1, 200).alias("p")).where("p is not null")
+    pairs = _t(spark, sf, "conversations").select("conv_id", F.col("text").alias("t"), before.alias("p")).where("p is not null")
     return metrics.error_rate(pairs.withColumn("c", metrics.char_edits(F.col("p"), F.col("t"))), "c", "cer", ["conv_id"])
 
 
