@@ -1,0 +1,13 @@
+"""Personal data that is long, rare in form, or that has few forms."""
+
+from __future__ import annotations
+
+from test_models import replaced
+
+
+def test_long_secrets_and_names_leave_no_tail(spark):
+    head = "aB3" * 70
+    texts, n = replaced(spark, f"password={head}tail1", f"token = \"{head}tail2\" x", f"password={head}tail3", f"Mr. A{'b' * 60}tail met")
+    assert n == [1, 1, 1, 1] and not any("tail" in t or head[:20] in t for t in texts)
+    assert len({t.split("=")[1].strip(' "x') for t in texts[:3]}) == 3
+    assert len(texts[0]) == len(f"password={head}tail1") and texts[3].startswith("Mr. ") and texts[3].endswith(" met")

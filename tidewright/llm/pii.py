@@ -32,13 +32,13 @@ ENDINGS = {("latin", "m"): ["n", "rd", "s", "lf"], ("latin", "f"): ["na", "ra",
 ENDINGS |= {("cyrillic", "m"): ["н", "р", "с", "л"], ("cyrillic", "f"): ["на", "ра", "са", "лия"], ("cyrillic", "n"): ["й", "ль", "м", "т"], ("cyrillic", "s"): ["енко", "ский", "ич", "юк"]}
 
 _TITLE = "|".join(MALE + FEMALE + NEUTRAL)
-_WORD = r"\p{Lu}[\p{L}'’-]{1,40}+"
+_WORD = r"\p{Lu}[\p{L}'’-]++"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}"
 IP = r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\d|\.\d)"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w.,-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d|[.,-]\d)"
-SECRET = r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?<=password=)[^\s\"]{6,200}+|(?<=token = \")[^\s\"]{6,200}+"
+SECRET = r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?<=password=)[^\s\"]{6,}+|(?<=token = \")[^\s\"]{6,}+"
 NAME = rf"(?<![\p{{L}}.])(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}"
 PATTERN = "|".join((EMAIL, IP, PHONE, SSN, CARD, SECRET, NAME))
 #: What any match has: a quick first look.
