@@ -42,7 +42,7 @@ SECRET = r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?<=password=)[^\s\"]{6,}+|
 NAME = rf"(?<![\p{{L}}.])(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}"
 PATTERN = "|".join((EMAIL, IP, PHONE, SSN, CARD, SECRET, NAME))
 #: What any match has: a quick first look.
-HINT = rf"[@\d]|password=|token = \"|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"[@\d]|AKIA|password=|token = \"|(?:{_TITLE})\.? \p{{Lu}}"
 ROUNDS = 40
 
 
