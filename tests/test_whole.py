@@ -82,3 +82,9 @@ def test_very_long_texts_are_aligned():
     a = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
     s, d, i, h = metrics.edit_operations(a, a[:100] + "#" + a[101:50_000] + a[50_007:] + "!!")
     assert (s + d + i, s + d + h) == (10, 60_000)
+
+
+def test_interleave_takes_every_language(spark, tmp_path):
+    docs = [(i, ("en", "fr", "de", "es", None)[i % 5]) for i in range(40)]
+    rows = catalogue.interleave(spark, _tables(spark, tmp_path, documents=(docs, "doc_id long, lang string"))).collect()
+    assert {(r.doc_id, r.lang) for r in rows} == set(docs) and len({r.source for r in rows}) == 5

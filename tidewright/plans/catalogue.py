@@ -17,6 +17,8 @@ from ..functions.numerals import numerals_to_words
 from ..operators import filters, joins, metrics, mix, ngrams, scoring, vtt
 
 KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
+#: Weights of languages in the interleaving; others have 1.
+LANGUAGES = {"en": 5, "fr": 3, "de": 2}
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -381,8 +383,11 @@ def language_share(spark, sf):
 @_query()
 def interleave(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", "lang")
-    parts = [d.where(F.col("lang") == x) for x in ("en", "fr", "de")]
-    return mix.interleave(parts, ["doc_id"], seed=4242, probabilities=[0.5, 0.3, 0.2])
+    # a source for each language that occurs, null too
+    langs = sorted((r.lang for r in d.select("lang").distinct().collect()), key=lambda x: (x not in LANGUAGES, x is None, x or ""))
+    weights = [LANGUAGES.get(x, 1) for x in langs]
+    parts = [d.where(F.col("lang").eqNullSafe(F.lit(x))) for x in langs]
+    return mix.interleave(parts or [d], ["doc_id"], seed=4242, probabilities=[w / sum(weights) for w in weights] or [1.0])
 
 
 @_query()
