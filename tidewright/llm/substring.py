@@ -1,14 +1,13 @@
-"""Substring dedup: passages that also stand in an earlier document, found by relative Lempel-Ziv parsing.
+"""Substring dedup: passages that also stand in an earlier document, found by exact lookup of windows.
 
-The reference is the corpus itself, cut into blocks by hash: a block indexes,
+The reference is the corpus itself, dealt by hash into buckets: a bucket knows,
 for each 13-word window that falls into it, the earliest document that has the
-window. Each document is parsed greedily against every indexed block: from the
-first window that a block knows in an earlier document, a factor runs on as long
-as the next window is known in the same document; where that ends, the windows
-over the factor's boundary are looked up by themselves, and the next factor
-starts. A factor is 13 words or more, so each one is a duplicate span. Windows
-over boundaries are looked up like all others, so greediness loses none: exactly
-the words under a window that starts in an earlier document are covered.
+window. Every window of a document is looked up, so exactly the words under a
+window that starts in an earlier document are covered. This takes the place of a
+relative Lempel-Ziv parse, which would have to look up the windows over its
+factor boundaries as well. Factors are labels made afterwards: runs of windows
+that follow each other with one earliest document. A long copy is split where a
+window has an earlier owner, so they are no greedy factorisation.
 """
 
 from __future__ import annotations
