@@ -6,9 +6,11 @@ import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..store import numbered
+
 
 def validate_probabilities(probabilities: Iterable[object], count: int) -> list[float]:
     """As floats; an error unless there are ``count`` finite numbers in [0, 1] that add up to 1."""
@@ -77,36 +79,21 @@ def interleave(sources: Sequence[DataFrame], order: Sequence[str], seed: int, pr
         if not n:
             continue
         drawn = max(n, math.floor(horizon * x))
-        numbered = _numbered(source, order)
+        numbered_ = numbered(source, list(order), "interleave-rows")
         # only as many rounds as the rest of the mix is long; a row that is not reached again is not repeated
-        again = numbered.withColumn("round", F.explode(F.sequence(F.lit(0), F.floor((F.lit(drawn - 1) - F.col("row_")) / n).cast("int"))))
+        again = numbered_.withColumn("round", F.explode(F.sequence(F.lit(0), F.floor((F.lit(drawn - 1) - F.col("row_")) / n).cast("int"))))
         k = F.col("round") * n + F.col("row_")
         jitter = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), k), F.lit(1 << 20)) / float(1 << 20)
         out.append(again.withColumn("source", F.lit(i)).withColumn("step", (k + jitter) / x).drop("row_"))
     return concatenate(out) if out else sources[0].limit(0).withColumn("round", F.lit(0)).withColumn("source", F.lit(0)).withColumn("step", F.lit(0.0))
 
 
-def _numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """df with row_, from 0 in that order: sorted by range, then counted by partition, so nothing is gathered."""
-    spark = df.sparkSession
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    held = ranged.withColumn("part_", F.spark_partition_id())
-    held = held.withColumn("at_", F.row_number().over(Window.partitionBy("part_").orderBy(*order)))
-    counts = held.groupBy("part_").agg(F.count(F.lit(1)).alias("n_")).collect()
-    first, total = [], 0
-    for r in sorted(counts, key=lambda r: r.part_):
-        first.append((r.part_, total))
-        total += r.n_
-    offsets = spark.createDataFrame(first, "part_ int, first_ long")
-    return held.join(F.broadcast(offsets), "part_").withColumn("row_", F.col("first_") + F.col("at_") - 1).drop("part_", "at_", "first_")
-
-
 def batches(df: DataFrame, order: Sequence[str], size: int, drop_last: bool = True) -> DataFrame:
     """df with batch and place_in_batch, both from 0; without the last batch if it is not full."""
-    numbered = _numbered(df, order)
-    out = numbered.withColumn("batch", F.floor(F.col("row_") / size)).withColumn("place_in_batch", (F.col("row_") % size).cast("int"))
+    rows = numbered(df, list(order), "batch-rows")
+    out = rows.withColumn("batch", F.floor(F.col("row_") / size)).withColumn("place_in_batch", (F.col("row_") % size).cast("int"))
     if drop_last:
-        out = out.where(F.col("batch") < numbered.count() // size)
+        out = out.where(F.col("batch") < rows.count() // size)
     return out.drop("row_")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, scalars, text
 from ..functions.numerals import numerals_to_words
 from ..operators import filters, joins, metrics, mix, ngrams, scoring, vtt
+from ..store import numbered
 
 KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
 #: Weights of languages in the interleaving; others have 1.
@@ -59,7 +60,7 @@ def validation_flag(spark, sf):
 
 @_query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) WHERE n % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000")
 def shard_scan(spark, sf):
-    lines = mix._numbered(_t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"])
+    lines = numbered(_t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], "shard-rows")
     return lines.where("row_ % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000").select("o_orderkey", "o_totalprice")
 
 
