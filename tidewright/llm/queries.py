@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .embed_dedup import near_duplicates
 from .langid import language_id
-from .mixing import CLOSING, pareto_mix
+from .mixing import WINDOW, pareto_mix
 from .ngram_join import ngram_jaccard_join
 from .pii import replace_pii
 from .quality import quality
@@ -61,45 +61,63 @@ def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-OP5_SQL = r"""
-WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+OP5_SQL = rf"""
+WITH RECURSIVE x AS (
+  SELECT *, coalesce(md5(text), repeat('0', 32)) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), d AS (
+  SELECT doc_id, source, size, length(bin(size)) AS w, CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS hash,
+    (CAST(('0x' || substr(md5('mix' || chr(1) || coalesce(CAST(doc_id AS VARCHAR), '-') || chr(1) || digest), 1, 13)) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u FROM x
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS sid FROM d GROUP BY source
-), w AS (
+), sw AS (
   SELECT *, CAST((sid - 1) % 3 + 1 AS DOUBLE) AS weight, source_size * CAST(3 AS DOUBLE) AS most FROM s
 ), l AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+    / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sw
 ), t AS (
-  SELECT sid, source, source_size, least(most, weight * coalesce((SELECT level FROM l WHERE level <= most / weight ORDER BY most / weight, sid LIMIT 1), 0)) AS target FROM w
+  SELECT sid, source, source_size, least(most, weight * coalesce((SELECT level FROM l WHERE level <= most / weight ORDER BY most / weight, sid LIMIT 1), 0)) AS target FROM sw
+), c AS (
+  SELECT t.sid, target, w, sum(size) AS words FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY t.sid, target, w
+), cl AS (
+  SELECT *, (target - 3 * coalesce(sum(words) OVER (PARTITION BY sid ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / nullif(sum(words * w) OVER (PARTITION BY sid ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS level FROM c
+), lv AS (
+  SELECT sid, coalesce(arg_max(level, w) FILTER (level * w <= 3), CASE WHEN any_value(target) > 0 THEN 3.0 ELSE 0.0 END) AS level FROM cl GROUP BY sid
 ), e AS (
-  SELECT d.*, sid, source_size, target,
-    CASE WHEN source_size > 0 THEN least(CAST(3 AS DOUBLE), target / source_size) ELSE 0 END AS expected,
-    (CAST(('0x' || substr(md5('mix' || chr(1) || CAST(doc_id AS VARCHAR)), 1, 13)) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  SELECT d.*, t.sid, source_size, target, least(CAST(3 AS DOUBLE), level * w) AS expected FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN lv ON lv.sid = t.sid
 ), q AS (
   SELECT *, CAST(floor(expected) AS BIGINT) AS whole,
-    CASE WHEN expected - floor(expected) > 0 THEN (u / (1 - u)) * ((1 - (expected - floor(expected))) / (expected - floor(expected))) END AS q,
-    target - sum(floor(expected) * size) OVER (PARTITION BY sid) AS rest FROM e
+    CASE WHEN expected - floor(expected) > 0 THEN (u / (1 - u)) * ((1 - (expected - floor(expected))) / (expected - floor(expected))) END AS q FROM e
 ), r AS (
-  SELECT *, sum(size) OVER (PARTITION BY sid ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS cum FROM q
-), p AS (
-  SELECT *, q IS NOT NULL AND rest > 0 AND cum + size <= rest AS picked FROM r
+  SELECT sid, any_value(target) - sum(whole * size) AS rest FROM q GROUP BY sid
+), g AS (
+  SELECT sid, q, doc_id, size, hash, count(*) AS many FROM q WHERE q IS NOT NULL GROUP BY ALL
+), n AS (
+  SELECT g.*, rest, row_number() OVER o AS n, sum(many * size) OVER o AS upto, sum(many) OVER o - many AS place FROM g JOIN r USING (sid)
+  WINDOW o AS (PARTITION BY g.sid ORDER BY q, doc_id NULLS FIRST, size, hash ROWS UNBOUNDED PRECEDING)
+), stop AS (
+  SELECT sid, min(n) AS stop, min(place) AS stop_place FROM n WHERE upto > rest GROUP BY sid
+), win AS (
+  SELECT n.* FROM n JOIN stop USING (sid) WHERE n.n >= stop AND place < stop_place + {WINDOW}
+), f AS (
+  SELECT w.sid, n, many, size, rest - (upto - many * size) AS gap, CASE WHEN size > 0 THEN least(many, greatest(0, CAST(floor((rest - (upto - many * size)) / size) AS BIGINT))) ELSE many END AS k
+  FROM win w JOIN stop USING (sid) WHERE n = stop
+  UNION ALL
+  SELECT w.sid, w.n, w.many, w.size, f.gap - f.k * f.size, CASE WHEN w.size > 0 THEN least(w.many, greatest(0, CAST(floor((f.gap - f.k * f.size) / w.size) AS BIGINT))) ELSE w.many END
+  FROM f JOIN win w ON w.sid = f.sid AND w.n = f.n + 1
+), ended AS (
+  SELECT sid, arg_max(gap - k * size, n) AS gap FROM f GROUP BY sid
+), best AS (
+  SELECT f.sid, arg_min(n, struct_pack(d := abs(ended.gap - size), n := n)) AS best FROM f JOIN ended USING (sid) WHERE k < many AND abs(ended.gap - size) < ended.gap GROUP BY f.sid
+), k AS (
+  SELECT f.sid, n, k + CASE WHEN n IS NOT DISTINCT FROM best THEN 1 ELSE 0 END AS k FROM f LEFT JOIN best USING (sid)
+), docs AS (
+  SELECT q.*, n.n, stop, k, row_number() OVER (PARTITION BY q.sid, q.q, q.doc_id, q.size, q.hash) AS copy
+  FROM q LEFT JOIN n ON n.sid = q.sid AND n.q = q.q AND n.doc_id IS NOT DISTINCT FROM q.doc_id AND n.size = q.size AND n.hash = q.hash LEFT JOIN stop ON stop.sid = q.sid LEFT JOIN k ON k.sid = q.sid AND k.n = n.n
+), taken AS (
+  SELECT *, whole + CASE WHEN q IS NULL THEN 0 WHEN stop IS NULL OR n < stop THEN 1 WHEN copy <= coalesce(k, 0) THEN 1 ELSE 0 END AS copies FROM docs
 )
-""" + "".join(f"""
-, g{i} AS (
-  SELECT * EXCLUDE (picked), picked AS picked{i}, CASE WHEN rest > 0 THEN rest - sum(CASE WHEN picked THEN size ELSE 0 END) OVER (PARTITION BY sid) END AS gap{i} FROM {"p" if i == 0 else f"p{i}"}
-), n{i} AS (
-  SELECT *, row_number() OVER (PARTITION BY sid, picked{i}, q IS NULL ORDER BY abs(gap{i} - size), q, doc_id, size) AS near{i} FROM g{i}
-), p{i + 1} AS (
-  SELECT *, picked{i} OR coalesce(q IS NOT NULL AND near{i} = 1 AND abs(gap{i} - size) < gap{i}, false) AS picked FROM n{i}
-)
-""" for i in range(CLOSING)) + f"""
-, c AS (
-  SELECT *, whole + CASE WHEN picked THEN 1 ELSE 0 END AS copies FROM p{CLOSING}
-)
-SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies FROM c
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies FROM taken
 """
 
 

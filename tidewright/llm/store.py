@@ -1,45 +1,5 @@
-"""Tables written to the folder that all executors share."""
+"""Tables written to the folder that all executors share: the library's own."""
 
-from __future__ import annotations
+from ..store import forget, free_name, release, shared_folder, written
 
-import atexit
-import gc
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests), a temporary one."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not place:
-        place = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", place)
-        atexit.register(shutil.rmtree, place, True)
-    return place.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: short lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidewright_path = path
-    return out
-
-
-def forget(*tables: DataFrame) -> None:
-    """Delete tables of ``written`` that nothing needs any more."""
-    for df in tables:
-        sc = df.sparkSession.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(df._tidewright_path)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more; else they stay on disk until the driver happens to collect garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+__all__ = ["forget", "free_name", "release", "shared_folder", "written"]
