@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.bpe import bpe_decode, bpe_encode
-from tidewright.llm.mixing import WORD, pareto_mix
+from tidewright.llm.mixing import mixed
 from tidewright.llm.ngram_join import ngram_jaccard_join
 from tidewright.llm.pii import replace_pii
 from tidewright.llm.quality import good_documents
@@ -47,11 +47,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    # what the mix decides depends on these three alone
-    taken = pareto_mix(docs).where("copies > 0").select(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), F.col("size").alias("size_"), "copies").distinct()
-    rows = docs.withColumn("words_", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    same = rows.doc_id.eqNullSafe(taken.id_) & rows.source.eqNullSafe(taken.source_) & (rows.words_ == taken.size_)
-    return rows.join(taken, same).withColumn("n_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    return mixed(docs)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
