@@ -12,6 +12,8 @@ hold it: a bucket grows with the number of batches, not with the hottest key.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from .store import written
 from .words import Batch
 
 #: Bytes of text of a batch; a longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Keys that one bucket holds at most, on average.
 BUCKET_KEYS = 4_000_000
 SIZES = 64
@@ -32,6 +34,28 @@ SIZES = 64
 _IPC = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
+def trim() -> None:
+    """Give freed memory back to the system, which the C library else keeps for a worker's next task of another kind."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A function of batches, as mapInArrow takes it, that trims the worker's memory at its end."""
+
+    @functools.wraps(run)
+    def out(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(rows)
+        finally:
+            trim()
+
+    return out
+
+
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=_IPC) as out:
@@ -86,7 +110,7 @@ def batch_table(docs: DataFrame, id_col: str, text_col: str, name: str, batch_by
             seq += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return written(rows.mapInArrow(cut, "batch long, n_words long, sizes array<long>, payload binary"), name)
+    return written(rows.mapInArrow(lean(cut), "batch long, n_words long, sizes array<long>, payload binary"), name)
 
 
 def prefix_bytes(n_keys: int) -> int:
@@ -124,8 +148,13 @@ def ask(batches: DataFrame, request: Callable, answer: Callable, columns: str, r
             for batch, payload in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                 yield from request(batch, payload.as_py())
 
-    asked = batches.select("batch", "payload").mapInArrow(ask_all, f"bucket int, batch long, {columns}")
-    return asked.groupBy("bucket").applyInArrow(lambda table: answer(table), f"batch long, bucket int, {replies}")
+    asked = batches.select("batch", "payload").mapInArrow(lean(ask_all), f"bucket int, batch long, {columns}")
+    def answered(table: pa.Table) -> pa.Table:
+        out = answer(table)
+        trim()
+        return out
+
+    return asked.groupBy("bucket").applyInArrow(answered, f"batch long, bucket int, {replies}")
 
 
 def meet(batches: DataFrame, replies: DataFrame, finish: Callable, schema: str) -> DataFrame:
@@ -133,6 +162,8 @@ def meet(batches: DataFrame, replies: DataFrame, finish: Callable, schema: str)
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         # a reply without its batch can't be: both come from the one written table
-        return pa.concat_tables([finish(b, x.as_py(), right) for b, x in zip(left["batch"].to_pylist(), left["payload"], strict=True)])
+        out = pa.concat_tables([finish(b, x.as_py(), right) for b, x in zip(left["batch"].to_pylist(), left["payload"], strict=True)])
+        trim()
+        return out
 
     return batches.select("batch", "payload").groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(both, schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .batches import slices, text_batch
+from .batches import lean, slices, text_batch
 from .words import span_hashes
 
 #: Classes of code points. Fixed: the pre-tokenisation pattern names these letters and pairs after an apostrophe.
@@ -448,7 +448,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0), data.cast(pa.binary()), pa.array(np.diff(bounds), pa.int64())], names=["doc_id", "ids", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary, n_tokens long")
+    return rows.mapInArrow(lean(run), "doc_id long, ids binary, n_tokens long")
 
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
@@ -468,4 +468,4 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> Dat
                 out = pa.array([data[x:y] if ok else None for x, y, ok in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)

@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, text_batch
+from .batches import lean, slices, text_batch
 
 ORDERS = (1, 2, 3)
 BITS = 16
 #: Bound of the broadcast: 512 KiB a language.
 MOST_LANGUAGES = 256
-SLICE = 2 << 20
+SLICE = 1 << 19
 _PARTS = 16
 _PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -114,7 +114,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             )
 
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    partial = rows.mapInArrow(count, _COUNTS)
+    partial = rows.mapInArrow(lean(count), _COUNTS)
     found = partial.groupBy("lang", "part", "salt").applyInArrow(_summed, _COUNTS).groupBy("lang", "part").applyInArrow(_summed, _COUNTS)
     n = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
     if n > MOST_LANGUAGES:
@@ -162,7 +162,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(prob, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(score, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(lean(score), "doc_id long, lang_pred string, score double")
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import SIZES, ask, batch_table, bucket_bounds, cut_keys, join_keys, meet, prefix_bytes, text_batch, unpack
+from .batches import SIZES, ask, batch_table, bucket_bounds, cut_keys, join_keys, lean, meet, prefix_bytes, text_batch, unpack
 from .components import connected_components
 from .store import forget, release, written
 from .words import LOWER, Batch, factors, mix, short_hashes, windows
@@ -266,7 +266,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
-    return near.join(side("a", "shared"), "a").join(side("b", "shared"), "b").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(_linked, "a long, b long")
+    return near.join(side("a", "shared"), "a").join(side("b", "shared"), "b").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(lean(_linked), "a long, b long")
 
 
 def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep") -> DataFrame:

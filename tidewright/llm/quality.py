@@ -20,19 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .batches import slices, text_batch
+from .batches import lean, slices, text_batch, trim
 from .langid import held_out
 
 #: Bound of the labelled rows that the classifier is fitted on and broadcasts: those of the least hashed ids.
-SAMPLE = 3072
+SAMPLE = 4096
 DIMENSIONS = 64
 NEIGHBOURS = 32
 #: Similarities are raised to this power for the vote.
 SHARPNESS = 4
 THRESHOLD = 0.3
 _HALF = 4096
-_DOCS = 512
-SLICE = 2 << 20
+_DOCS = 256
+SLICE = 1 << 19
 
 
 @lru_cache(1)
@@ -104,31 +104,60 @@ def _sparse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+class _Sample:
+    """Weighted vectors of the sample, kept sparse; blocks of them are made whole one after the other."""
+
+    def __init__(self, rows: list) -> None:
+        self.rows = [(np.frombuffer(r.at, dtype="<u2"), np.frombuffer(r.value, dtype="<f4")) for r in rows]
+        seen = np.zeros(2 * _HALF, dtype=np.int64)
+        for at, _ in self.rows:
+            seen[at] += 1
+        self.idf = np.log((1 + len(rows)) / (1 + seen)).astype(np.float32) + np.float32(0.1)
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        for a in range(0, len(self.rows), _DOCS):
+            part = self.rows[a : a + _DOCS]
+            x = np.zeros((len(part), 2 * _HALF), dtype=np.float32)
+            for i, (at, value) in enumerate(part):
+                x[i, at] = value
+            yield a, _weighted(x, self.idf)
+
+    def times(self, q: np.ndarray) -> np.ndarray:
+        return np.concatenate([x @ q for _, x in self.blocks()])
+
+    def transposed_times(self, y: np.ndarray) -> np.ndarray:
+        out = np.zeros((2 * _HALF, y.shape[1]), dtype=np.float32)
+        for a, x in self.blocks():
+            out += x.T @ y[a : a + len(x)]
+        return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows (doc_id, label): those whose hashed ids are least.
 
-    docs: (doc_id, text). Labels that are null, or of documents that are not there, are left out.
+    docs: (doc_id, text). Labels that are null, or of documents that are not there,
+    are left out. Of several labels of one id the greatest counts, of several texts
+    the one whose MD5 is least, so reruns agree.
     """
-    chosen = labels.where("doc_id is not null and label is not null").select("doc_id", "label").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.col("label").cast("int").alias("label"), F.col("text").cast("string").alias("text"), "doc_id")
+    chosen = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.col("text").cast("string").alias("text"))
     # a document id that is repeated would be drawn as often
-    got = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").drop("doc_id").mapInArrow(_sparse, "label int, at binary, value binary").collect()
-    x = np.zeros((len(got), 2 * _HALF), dtype=np.float32)
-    for i, r in enumerate(got):
-        x[i, np.frombuffer(r.at, dtype="<u2")] = np.frombuffer(r.value, dtype="<f4")
+    one = rows.groupBy("doc_id").agg(F.max("label").alias("label"), F.min_by("text", F.struct(F.md5(F.col("text").cast("binary")))).alias("text"))
+    got = one.orderBy("doc_id").select("label", "text").mapInArrow(lean(_sparse), "label int, at binary, value binary").collect()
     y = np.array([r.label for r in got], dtype=np.float32)
+    x = _Sample(got)
     del got
-    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))).astype(np.float32) + np.float32(0.1)
-    x = _weighted(x, idf)
-    size = min(DIMENSIONS, max(1, len(x)))
+    size = min(DIMENSIONS, max(1, len(y)))
     q = np.random.default_rng(7).standard_normal((2 * _HALF, size + 16)).astype(np.float32)
-    for _ in range(4):
-        q = np.linalg.qr(x.T @ (x @ q))[0] if len(x) else q
-    if len(x):
-        axes = q @ np.linalg.svd(x @ q, full_matrices=False)[2].T[:, :size]
-    else:
-        axes = q[:, :size]
-    return Model(idf, axes.astype(np.float32), _unit(x @ axes).astype(np.float32), y, float(y.mean()) if len(y) else 0.5)
+    axes = q[:, :size]
+    if len(y):
+        for _ in range(4):
+            q = np.linalg.qr(x.transposed_times(x.times(q)))[0]
+        axes = (q @ np.linalg.svd(x.times(q), full_matrices=False)[2].T[:, :size]).astype(np.float32)
+    vectors = _unit(x.times(axes)) if len(y) else np.zeros((0, size), dtype=np.float32)
+    out = Model(x.idf, axes, vectors.astype(np.float32), y, float(y.mean()) if len(y) else 0.5)
+    trim()
+    return out
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -156,7 +185,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1))], names=[*part.schema.names, score_col])
 
     schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def learned(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Model:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, text_batch
+from .batches import lean, slices, text_batch
 from .bpe import SLICE, encoder
 from .store import release, written
 
@@ -86,7 +86,7 @@ def sequences(docs: DataFrame, vocabulary: str, length: int, id_col: str, text_c
             row += len(doc)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(cut, "part int, row long, doc_id long, seq int, n_tokens int, ids binary")
+    return rows.mapInArrow(lean(cut), "part int, row long, doc_id long, seq int, n_tokens int, ids binary")
 
 
 def write_shards(docs: DataFrame, vocabulary: str, key: str, length: int = LENGTH, per_shard: int = PER_SHARD, id_col: str = "doc_id", text_col: str = "text", pad: int = 50256) -> tuple[DataFrame, DataFrame]:
@@ -112,8 +112,8 @@ def write_shards(docs: DataFrame, vocabulary: str, key: str, length: int = LENGT
             starts = np.array([shared.value[p] for p in b.column(0).to_pylist()], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(feistel(starts + b.column(1).to_numpy(), n, key)), *b.columns[2:]], names=["slot", *b.schema.names[2:]])
 
-    placed = cut.select("part", "row", "ids").mapInArrow(place, "slot long, ids binary").withColumn("shard", F.floor(F.col("slot") / per_shard))
-    index = cut.select("part", "row", "doc_id", "seq", "n_tokens").mapInArrow(place, "slot long, doc_id long, seq int, n_tokens int")
+    placed = cut.select("part", "row", "ids").mapInArrow(lean(place), "slot long, ids binary").withColumn("shard", F.floor(F.col("slot") / per_shard))
+    index = cut.select("part", "row", "doc_id", "seq", "n_tokens").mapInArrow(lean(place), "slot long, doc_id long, seq int, n_tokens int")
 
     def join(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sequences in the order of slots -> shards; a task has whole shards only."""
@@ -135,7 +135,7 @@ def write_shards(docs: DataFrame, vocabulary: str, key: str, length: int = LENGT
     # slots are a permutation: every shard but the last holds exactly per_shard sequences, and every range RANGE shards
     parts = max(1, -(-n // (per_shard * RANGE)))
     ranged = placed.select("shard", "slot", "ids").repartitionById(parts, F.floor(F.col("shard") / RANGE).cast("int")).sortWithinPartitions("slot")
-    shards = written(ranged.mapInArrow(join, "shard long, first_slot long, n_slots int, payload binary"), "shards")
+    shards = written(ranged.mapInArrow(lean(join), "shard long, first_slot long, n_slots int, payload binary"), "shards")
     del ranged
     release(spark)
     return shards, index
@@ -154,4 +154,4 @@ def read_slots(shards: DataFrame) -> DataFrame:
                 ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * stride).astype("<i4")), data])
                 yield pa.RecordBatch.from_arrays([pa.array(first + at), pa.array(np.full(n, shard)), pa.array(at * stride), ids], names=["slot", "shard", "offset", "ids"])
 
-    return shards.mapInArrow(cut, "slot long, shard long, offset long, ids binary")
+    return shards.mapInArrow(lean(cut), "slot long, shard long, offset long, ids binary")
