@@ -29,7 +29,11 @@ def test_llm_is_optional(tmp_path):
     shutil.copytree(os.path.join(root, "tidewright"), tmp_path / "tidewright", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not [n for n in q if n.startswith('op') or n == 'pipeline']; e.oracle_sql()"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    env = {**os.environ, "PYTHONPATH": str(tmp_path)}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
+    # and the rest's own tests pass without both folders
+    shutil.copytree(os.path.join(root, "tests"), tmp_path / "tests", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", "not against_sql and not optional and not whole"], cwd=tmp_path, check=True, env=env)
 
 
 @pytest.mark.parametrize("name", sorted(n for n in contract.oracle_sql() if not n.startswith("op") and n != "pipeline"))

@@ -146,6 +146,7 @@ def test_ages_and_dialects(spark):
     df = spark.createDataFrame([("fynsk", None), ("fynsk", "SE"), ("?", "DK"), (None, "DK")], "s string, c string")
     assert [r[0] for r in df.select(scalars.dialect(F.col("s"), F.col("c"))).collect()] == ["Fynsk", "Non-native", None, None]
     assert scalars.retry_after("7", 0) == 7 and scalars.retry_after("x", 0) == 120 and scalars.retry_after(None, 0) == 120 and scalars.retry_after("9999", 0) == 300
+    assert scalars.retry_after("-5", 0) == 120 and scalars.retry_after("nan", 0) == 120 and scalars.retry_after("inf", 0) == 120
     assert scalars.retry_after("Thu, 01 Jan 1970 00:01:00 GMT", 10) == 50
 
 

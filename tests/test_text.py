@@ -70,6 +70,26 @@ def test_caption(spark):
 
     rows = spark.createDataFrame([("<v Bob>a<00:01.000>b</v> &amp;  c",)], "t string")
     assert rows.select(T.clean_caption(F.col("t"))).first()[0] == "ab & c"
+    odd = spark.createDataFrame([("a<>b",), ("a<00:75:10.000>b",), ("a<1:00:10.000>b",), ("x &lt;i&gt; y",), (None,)], "t string")
+    assert [r[0] for r in odd.select(T.clean_caption(F.col("t"))).collect()] == ["a b", "ab", "a b", "x <i> y", None]
+
+
+def test_replacements_are_those_one_after_the_other(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    for _ in range(20):
+        table = {"".join(rng.choice("abcd") for _ in range(rng.choice((1, 1, 1, 2)))): "".join(rng.choice("abcde") for _ in range(rng.choice((0, 1, 1, 1, 2)))) for _ in range(6)}
+        texts = ["".join(rng.choice("abcdef") for _ in range(12)) for _ in range(10)]
+        want = []
+        for t in texts:
+            for a, b in table.items():
+                t = t.replace(a, b)
+            want.append(t)
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        assert [r[0] for r in df.select(T.replace_all(F.col("t"), table)).collect()] == want
 
 
 def test_urls_and_names(spark):

@@ -79,5 +79,5 @@ def _spelled(texts: pd.Series) -> pd.Series:
 
 
 def numerals_to_words(text: Column) -> Column:
-    """Numerals in text as words. Only texts with a digit go through Python."""
-    return F.when(text.rlike(r"\d"), _spelled(text)).otherwise(text)
+    """Numerals in text as words; for texts without a digit Python sees a null."""
+    return F.coalesce(_spelled(F.when(text.rlike(r"\d"), text)), text)

@@ -39,17 +39,15 @@ def retry_delay(n: Column, base: float = 1.0, most: float = 300.0) -> Column:
 
 
 def retry_after(value: str | None, now: float, fallback: float = 120.0, most: float = 300.0) -> float:
-    """Seconds to wait by a Retry-After header, a number or an HTTP date, at most ``most``."""
-    if value is None:
-        return fallback
+    """Seconds to wait by a Retry-After header, a number or an HTTP date, at most ``most``; a number below 0 counts as none."""
+    seconds = None
     try:
-        seconds = float(value)
+        seconds = float(value or "")
+        seconds = seconds if seconds >= 0 else None
     except ValueError:
-        try:
-            seconds = email.utils.parsedate_to_datetime(value).timestamp() - now
-        except ValueError:
-            return fallback
-    return min(most, max(0.0, seconds)) if math.isfinite(seconds) else fallback
+        date = email.utils.parsedate_tz(value or "")
+        seconds = max(0.0, email.utils.mktime_tz(date) - now) if date else None
+    return min(most, seconds) if seconds is not None and math.isfinite(seconds) else min(most, fallback)
 
 
 def is_retryable(status: Column) -> Column:

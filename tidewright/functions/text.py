@@ -2,8 +2,8 @@
 
 The order of the cleaning steps is part of their meaning: numerals, case, fillers,
 compatibility normalisation, replacements, characters to keep, runs of spaces,
-lines. Only NFKC (no built-in exists) and HTML entities go through Python, and of
-the texts only those that can change.
+lines. Only NFKC (no built-in exists) and HTML entities go through Python; a text
+that can't change is sent there as null.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,6 +28,9 @@ REPLACEMENTS = {
 }
 # Fixed value: hesitation sounds.
 FILLERS = r"(eh+m*|øh+m*|h+m+|m+h+)"
+# A time within a caption, any other markup of a caption.
+INLINE_TIME = r"<(?:(?:\d{2}:)?\d{2}:\d{2}[.,]\d{3})>"
+MARKUP = r"<[^>]*>"
 # Fixed value: white space as Python strips it.
 BLANK = r"[\s\x1c-\x1f\x85]"
 
@@ -53,12 +55,24 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility normalisation; texts of ASCII alone stay on the JVM's side."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc(c)).otherwise(c)
+    """Compatibility normalisation; for texts of ASCII alone Python sees a null."""
+    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def replace_all(c: Column, table: Mapping[str, str]) -> Column:
-    return reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), table.items(), c)
+    """The replacements one after the other; neighbours of one character each go in one pass, where none makes what a later one looks for."""
+    run: dict[str, str] = {}
+    for a, b in [*table.items(), ("", "")]:
+        if len(a) == len(b) == 1 and a not in run and a not in run.values():
+            run[a] = b
+            continue
+        if run:
+            c, run = F.translate(c, "".join(run), "".join(run.values())), {}
+        if len(a) == len(b) == 1:
+            run[a] = b
+        elif a:
+            c = F.replace(c, F.lit(a), F.lit(b))
+    return c
 
 
 def keep_characters(c: Column, keep: Iterable[str]) -> Column:
@@ -96,9 +110,8 @@ def _unescaped(texts: pd.Series) -> pd.Series:
 
 def clean_caption(c: Column) -> Column:
     """Caption text: inline times go, other tags become a space, entities characters, white space one space."""
-    c = F.regexp_replace(c, r"<(?:\d+:)?[0-5]\d:[0-5]\d[.,]\d{3}>", "")
-    c = F.regexp_replace(c, r"<[^>]+>", " ")
-    c = F.when(F.contains(c, F.lit("&")), _unescaped(c)).otherwise(c)
+    c = F.regexp_replace(F.regexp_replace(c, INLINE_TIME, ""), MARKUP, " ")
+    c = F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
     return strip(F.regexp_replace(c, rf"(?U){BLANK}+", " "))
 
 

@@ -48,23 +48,23 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str
     return df.join(found, F.col(key) == F.col("lookup_key_"), "left").withColumn(out, F.col("lookup_value_")).drop("lookup_key_", "lookup_value_")
 
 
-#: Phrases, and bytes of phrases, that are sent to every task at most.
-FEW_PHRASES, FEW_BYTES = 2000, 2 << 20
+#: Phrases, and bytes of phrases, that are sent to every task and searched for in every text, at most.
+FEW_PHRASES, FEW_BYTES = 16, 1 << 16
+#: Characters of a short phrase that its texts are met by.
+HEAD = 12
 
 
 def contains_join(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, words: int = 4) -> DataFrame:
     """Pairs of a row of texts and a row of phrases that its text contains; columns of both, which must differ.
 
-    Few phrases, by a count made first, are broadcast and each text is searched for
-    all. Else phrases of ``words`` + 2 words or more meet texts by a word n-gram
-    inside them, an equi-join that is then verified, and only shorter ones, which no
-    whole inner n-gram can tell, are compared with all texts.
+    Phrases of ``words`` + 2 words or more meet texts by a word n-gram inside them.
+    Shorter ones, which no whole inner n-gram can tell, are broadcast where they are
+    few, by a count made first; else they meet texts by their first HEAD characters,
+    or all of them, a pass over the texts for each length that occurs. All these are equi-joins
+    that are then verified.
     """
     phrases = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != ""))
     contained = F.contains(F.col(text), F.col(phrase))
-    size = phrases.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(phrase)), F.lit(0)).alias("b")).first()
-    if size.n <= FEW_PHRASES and size.b <= FEW_BYTES:
-        return texts.join(F.broadcast(phrases), contained)
     parts = F.split(F.col(phrase), " ")
     long = F.size(parts) >= words + 2
     grams = phrases.where(long).withColumn("gram_", F.array_join(F.slice(parts, F.lit(2), F.lit(words)), " "))
@@ -73,7 +73,20 @@ def contains_join(texts: DataFrame, phrases: DataFrame, text: str, phrase: str,
     starts = F.sequence(F.lit(1), F.greatest(F.size("words_") - words + 1, F.lit(1)))
     left = held.withColumn("gram_", F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("words_", i, F.lit(words)), " "))))).drop("words_")
     met = left.join(grams, "gram_").where(contained).drop("gram_")
-    return met.unionByName(texts.join(phrases.where(~long), contained))
+    short = phrases.where(~long)
+    size = short.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(phrase)), F.lit(0)).alias("b")).first()
+    if size.n <= FEW_PHRASES and size.b <= FEW_BYTES:
+        return met.unionByName(texts.join(F.broadcast(short), contained)) if size.n else met
+    headed = short.withColumn("gram_", F.substring(phrase, 1, HEAD))
+    for n in sorted(r.n for r in headed.select(F.length("gram_").alias("n")).distinct().collect()):
+        places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        left = texts.withColumn("gram_", F.explode(F.array_distinct(F.transform(places, _cutter(text, n)))))
+        met = met.unionByName(left.join(headed.where(F.length("gram_") == n), "gram_").where(contained).drop("gram_"))
+    return met
+
+
+def _cutter(text: str, n: int):
+    return lambda i: F.substr(F.col(text), i, F.lit(n))
 
 
 def zip_by_id(left: DataFrame, right: DataFrame, row_id: str) -> DataFrame:

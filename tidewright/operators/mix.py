@@ -5,27 +5,22 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from numbers import Real
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..store import numbered
+from ..store import col, numbered
 
 
 def validate_probabilities(probabilities: Iterable[object], count: int) -> list[float]:
     """As floats; an error unless there are ``count`` finite numbers in [0, 1] that add up to 1."""
-    try:
-        values = list(probabilities)
-    except TypeError:
-        raise ValueError("probabilities must be a list of numbers") from None
-    if len(values) != count:
-        raise ValueError(f"{len(values)} probabilities for {count} sources")
-    for v in values:
-        if isinstance(v, bool) or not isinstance(v, (int, float)) or not math.isfinite(v) or not 0 <= v <= 1:
-            raise ValueError(f"not a probability: {v!r}")
-    if abs(math.fsum(values) - 1) > 1e-8:
-        raise ValueError("probabilities do not add up to 1")
-    return [float(v) for v in values]
+    given = list(probabilities) if isinstance(probabilities, Iterable) else []
+    # comparisons are false for NaN and infinity
+    odd = [v for v in given if not (isinstance(v, Real) and not isinstance(v, bool) and 0 <= v <= 1)]
+    if odd or len(given) != count or abs(1 - math.fsum(given)) > 1e-8:
+        raise ValueError(f"{count} probabilities in [0, 1] that add up to 1 are needed, not {probabilities!r}")
+    return list(map(float, given))
 
 
 def validate_buffer(size: object) -> int:
@@ -39,9 +34,14 @@ def take(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     return df if n is None else df.orderBy(*order).limit(n)
 
 
+def shuffle_rank(seed: int, key: str) -> Column:
+    """What a shuffle sorts by: a hash of seed and key."""
+    return F.md5(F.concat_ws("\u0001", F.lit(str(seed)), F.col(key).cast("string")))
+
+
 def seeded_shuffle(df: DataFrame, seed: int, key: str, buffer: int | None = None, row: str | None = None) -> DataFrame:
     """In a random order that seed and key decide. With a buffer, only blocks of so many rows, by ``row``, are shuffled within."""
-    rank = F.xxhash64(F.lit(seed), F.col(key))
+    rank = shuffle_rank(seed, key)
     if buffer is None:
         return df.orderBy(rank, key)
     if row is None:
@@ -49,11 +49,16 @@ def seeded_shuffle(df: DataFrame, seed: int, key: str, buffer: int | None = None
     return df.orderBy(F.floor(F.col(row) / validate_buffer(buffer)), rank, key)
 
 
-def standardise(df: DataFrame, language: str | None = None, text: str = "text", default: str = "") -> DataFrame:
-    """(text, language), the fixed schema of sources that are mixed; language: the source's, else the model's, else nothing."""
-    if text not in df.columns:
-        raise ValueError(f"table has no column {text}")
-    return df.select(F.col(text).cast("string").alias("text"), F.lit(language if language is not None else default).alias("language"))
+def standardise(df: DataFrame, language: str | None = None, text: str = "text", default: str = "", audio: str | None = None) -> DataFrame:
+    """(text, language) or, with the name of a column of sound, (audio, text, language): the fixed schema of sources that are mixed.
+
+    language: the source's, else the model's, else nothing. A missing column is an error.
+    """
+    for c in filter(None, (text, audio)):
+        if c not in df.columns:
+            raise ValueError(f"table has no column {c}")
+    sound = [col(audio).alias("audio")] if audio else []
+    return df.select(*sound, col(text).cast("string").alias("text"), F.lit(language if language is not None else default).alias("language"))
 
 
 def concatenate(frames: Sequence[DataFrame]) -> DataFrame:
@@ -79,11 +84,12 @@ def interleave(sources: Sequence[DataFrame], order: Sequence[str], seed: int, pr
         if not n:
             continue
         drawn = max(n, math.floor(horizon * x))
-        numbered_ = numbered(source, list(order), "interleave-rows")
+        held = numbered(source, list(order), "interleave-rows")
         # only as many rounds as the rest of the mix is long; a row that is not reached again is not repeated
-        again = numbered_.withColumn("round", F.explode(F.sequence(F.lit(0), F.floor((F.lit(drawn - 1) - F.col("row_")) / n).cast("int"))))
+        again = held.withColumn("round", F.explode(F.sequence(F.lit(0), F.floor((F.lit(drawn - 1) - F.col("row_")) / n).cast("int"))))
         k = F.col("round") * n + F.col("row_")
-        jitter = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), k), F.lit(1 << 20)) / float(1 << 20)
+        digest = F.md5(F.concat_ws("\u0001", F.lit(str(seed)), F.lit(str(i)), k.cast("string")))
+        jitter = F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / float(1 << 20)
         out.append(again.withColumn("source", F.lit(i)).withColumn("step", (k + jitter) / x).drop("row_"))
     return concatenate(out) if out else sources[0].limit(0).withColumn("round", F.lit(0)).withColumn("source", F.lit(0)).withColumn("step", F.lit(0.0))
 

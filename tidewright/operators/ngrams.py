@@ -19,19 +19,18 @@ def ngram_counts(df: DataFrame, text: str, order: int, thresholds: Sequence[int]
     """(n, ngram, count) of orders 1 to ``order``, without those counted no more often than their order's threshold.
 
     The last threshold holds for all further orders. With marks, sentences begin
-    with <s> and end with </s>.
+    with <s> and end with </s>. The words of a text lie beside themselves, moved by
+    one, by two and so on, so that each place gives a row of words by built-in
+    functions alone.
     """
     tokens = words(F.col(text))
     if marks:
         tokens = F.concat(F.array(F.lit("<s>")), tokens, F.array(F.lit("</s>")))
-    listed = df.select(tokens.alias("w"))
-    grams = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(order)),
-            lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(n.alias("n"), F.array_join(F.slice("w", i, n), " ").alias("ngram")))).otherwise(F.array().cast("array<struct<n:int,ngram:string>>")),
-        )
-    )
-    counted = listed.select(F.explode(grams).alias("g")).groupBy("g.n", "g.ngram").agg(F.count(F.lit(1)).alias("count"))
+    names = [f"w{i}" for i in range(order)]
+    beside = F.arrays_zip(*[(F.col("w") if i == 0 else F.slice("w", i + 1, F.size("w"))).alias(x) for i, x in enumerate(names)])
+    rows = df.select(tokens.alias("w")).where("size(w) > 0").select(F.inline(beside))
+    each = F.array(*[F.struct(F.lit(n).alias("n"), F.when(F.col(names[n - 1]).isNotNull(), F.concat_ws(" ", *names[:n])).alias("ngram")) for n in range(1, order + 1)])
+    counted = rows.select(F.inline(each)).where("ngram is not null").groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("count"))
     limit = F.element_at(F.array(*map(F.lit, thresholds)), F.least(F.col("n"), F.lit(len(thresholds))))
     return counted.where(F.col("count") > limit)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..store import written
+
 
 def pruned_cube(df: DataFrame, categories: Sequence[str], aggregates: dict[str, Column], count: str = "n") -> DataFrame:
     """A row for each combination of category values, or "any" (null), that says something.
@@ -15,14 +17,15 @@ def pruned_cube(df: DataFrame, categories: Sequence[str], aggregates: dict[str,
     combination stays if each of its filters leaves some rows, but fewer than
     before: a value that the filters to its left imply adds nothing and is
     dropped. Rows whose value in a category is null count in "any" only. One
-    grouping-sets aggregation gives all counts; each combination then meets those
-    of its prefixes by key.
+    grouping-sets aggregation gives all counts, which are written: each combination
+    then meets those of its prefixes by key.
     """
     k = len(categories)
     names = [f"cat_{i}" for i in range(k)]
     cube = df.select("*", *[F.col(f"`{c}`").alias(x) for c, x in zip(categories, names, strict=True)]).cube(*names).agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias(count), *[v.alias(a) for a, v in aggregates.items()])
     bit = [1 << (k - 1 - i) for i in range(k)]  # set where the category is "any"
-    cube = cube.where(_and([(F.col("gid").bitwiseAND(F.lit(b)) != 0) | F.col(x).isNotNull() for b, x in zip(bit, names, strict=True)]))
+    # small, and read once for each prefix
+    cube = written(cube.where(_and([(F.col("gid").bitwiseAND(F.lit(b)) != 0) | F.col(x).isNotNull() for b, x in zip(bit, names, strict=True)])), "score-cube")
     out = cube
     for i in range(k):
         # the combination without the categories from i on, and with those up to i

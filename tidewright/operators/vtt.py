@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cue_id
-from ..functions.text import clean_caption, strip
+from ..functions.text import BLANK, clean_caption, strip
 
 # The shape of a time and the first words of blocks that are no cues.
 TIME = r"^(?:(\d+):)?([0-5]\d):([0-5]\d)[.,](\d{3})$"
@@ -37,9 +37,9 @@ def remove_overlap(previous: Column, current: Column) -> Column:
 
 def blocks(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """(path, block, lines) of each file; valid: whether the file begins with WEBVTT."""
-    text = F.regexp_replace(F.regexp_replace(F.col(content), "^\\x{FEFF}", ""), r"\r\n?", "\n")
-    body = files.select(F.col(path).alias("path"), F.startswith(F.ltrim(F.regexp_replace(text, r"^\s+", "")), F.lit("WEBVTT")).alias("valid"), F.posexplode(F.split(strip(text), r"\n[ \t]*\n\s*")).alias("block", "body"))
-    return body.select("path", "valid", "block", F.split("body", "\n").alias("lines"))
+    text = F.regexp_replace(F.replace(F.col(content), F.lit("\ufeff"), F.lit("")), r"\r\n?", "\n")
+    body = files.select(F.col(path).alias("path"), F.startswith(strip(text), F.lit("WEBVTT")).alias("valid"), F.posexplode(F.split(strip(text), rf"(?U)\n{BLANK}*\n")).alias("block", "body"))
+    return body.select("path", "valid", "block", F.transform(F.split(strip(F.col("body")), "\n"), strip).alias("lines"))
 
 
 def cues(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
@@ -52,11 +52,11 @@ def cues(files: DataFrame, path: str = "path", content: str = "content") -> Data
     timed = blocks(files, path, content).where("valid").where(~F.coalesce(F.get("lines", F.lit(0)).rlike(NO_CUE), F.lit(False)))
     arrow = F.filter("lines", lambda x: F.contains(x, F.lit("-->")))
     timed = timed.withColumn("arrows", arrow).where("size(arrows) > 0")
-    sides = F.split(F.get("arrows", F.lit(0)), "-->")
+    sides = F.split(F.get("arrows", F.lit(0)), "-->", 2)
     at = F.array_position("lines", F.get("arrows", F.lit(0)))
     timed = timed.select(
-        "path", "block", F.size("arrows").alias("n"), seconds(F.trim(F.get(sides, F.lit(0)))).alias("start"),
-        seconds(F.get(F.split(F.trim(F.get(sides, F.lit(1))), r"\s+"), F.lit(0))).alias("end"),
+        "path", "block", F.size("arrows").alias("n"), seconds(strip(F.get(sides, F.lit(0)))).alias("start"),
+        seconds(F.get(F.split(strip(F.get(sides, F.lit(1))), rf"(?U){BLANK}+"), F.lit(0))).alias("end"),
         clean_caption(F.array_join(F.slice("lines", (at + 1).cast("int"), F.size("lines")), " ")).alias("clean"),
     )
     ok = (F.col("n") == 1) & F.col("start").isNotNull() & F.col("end").isNotNull()
@@ -76,7 +76,7 @@ def manifest(cue: DataFrame, audio: DataFrame, language: str) -> DataFrame:
 
 
 def summary(cue: DataFrame, audio: DataFrame) -> DataFrame:
-    """One row of counters: files seen, written and skipped; cues written and skipped."""
+    """One row of counters: files seen, written and skipped; cues written and skipped. Files without captions, or whose captions have no header, are skipped files."""
     late = F.coalesce(F.col("end") > F.col("audio_duration"), F.lit(False))
     per = audio.join(cue, "path", "left").groupBy("wav_path").agg(F.count_if((F.col("status") == "ok") & ~late).alias("w"), F.count_if(F.col("status").isNotNull() & ((F.col("status") != "ok") | late)).alias("s"))
     return per.agg(F.count(F.lit(1)).alias("files_seen"), F.count_if(F.col("w") > 0).alias("files_written"), F.count_if(F.col("w") == 0).alias("files_skipped"), F.coalesce(F.sum("w"), F.lit(0)).alias("cues_written"), F.coalesce(F.sum("s"), F.lit(0)).alias("cues_skipped"))

@@ -7,15 +7,17 @@ sentences, conversations for captions in order, embeddings for waveforms.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, scalars, text
-from ..functions.numerals import numerals_to_words
-from ..operators import filters, joins, metrics, mix, ngrams, scoring, vtt
-from ..store import numbered
+from ..functions.numerals import TENS, UNITS, numerals_to_words
+from ..operators import filters, joins, metrics, mix, ngrams, scoring, validation, vtt
+from ..sources import manifest, shards
+from ..store import numbered, shared_folder
 
 KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
 #: Weights of languages in the interleaving; others have 1.
@@ -58,15 +60,28 @@ def validation_flag(spark, sf):
     return filters.not_rejected(d).select("doc_id", "toxic")
 
 
-@_query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) WHERE n % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000")
+@_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 8 BETWEEN 2 AND 4 AND o_totalprice > 1000 AND o_totalprice < 200000")
 def shard_scan(spark, sf):
-    lines = numbered(_t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], "shard-rows")
-    return lines.where("row_ % 4 = 1 AND o_totalprice > 1000 AND o_totalprice < 200000").select("o_orderkey", "o_totalprice")
+    """Orders written as eight shards, of which a pinned range is read."""
+    folder = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    shard = F.format_string("%05d", F.col("o_orderkey") % 8)
+    _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", shard.alias("shard")).write.partitionBy("shard").parquet(folder)
+    picked = {"template": "shard={shard:05d}", "start": 2, "end": 4}
+    return shards.read_shards(spark, folder, picked, [f"shard={i:05d}" for i in range(8)], "0" * 40).where("o_totalprice > 1000 AND o_totalprice < 200000").select("o_orderkey", "o_totalprice")
 
 
-@_query("SELECT event_id, value FROM events WHERE value > 1 AND value < 30")
+@_query("""
+WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events)
+SELECT event_id, value FROM n WHERE value > 1 AND value < 30 AND place % 3 IN (0, 2)
+""")
 def manifest_duration(spark, sf):
-    return _t(spark, sf, "events").where("value > 1.0 AND value < 30.0").select("event_id", "value")
+    """Events written as a manifest in the order of their ids, of which two shards of three are read."""
+    path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    e = _t(spark, sf, "events")
+    rows = e.select(F.lit("events").alias("source_wav_path"), F.lit(0.0).alias("start"), F.col("value").alias("end"), F.col("value").alias("duration"), F.lit("").alias("text"), F.col("event_id").cast("string").alias("id"), F.lit("en").alias("language"), "event_id")
+    manifest.write_manifest(rows.orderBy("event_id").drop("event_id"), path)
+    found = manifest.read_manifest(spark, path, 1, 30, [0, 2], 3)
+    return found.select(F.col("id").cast("long").alias("event_id"), F.col("duration").alias("value"))
 
 
 @_query("SELECT count(*) - count(CASE WHEN toxic <> 1 THEN 1 END) AS removed FROM labels")
@@ -85,10 +100,9 @@ def dedupe_sentences(spark, sf):
     return ngrams.distinct_sentences(_t(spark, sf, "documents"), "text").select(F.md5("text").alias("text_md5"))
 
 
-@_query("SELECT md5(text) AS text_md5, 'en' AS language FROM documents WHERE lang = 'en' UNION ALL SELECT md5(text), '' FROM conversations")
+@_query("SELECT md5(text) AS text_md5, 'en' AS language FROM documents UNION ALL SELECT md5(text), '' FROM conversations")
 def standardise_union(spark, sf):
-    docs = mix.standardise(_t(spark, sf, "documents").where("lang = 'en'"), "en")
-    both = mix.concatenate([docs, mix.standardise(_t(spark, sf, "conversations"))])
+    both = mix.concatenate([mix.standardise(_t(spark, sf, "documents"), "en"), mix.standardise(_t(spark, sf, "conversations"))])
     return both.select(F.md5("text").alias("text_md5"), "language")
 
 
@@ -187,10 +201,19 @@ def clean_by_language(spark, sf):
     return clean.where(filters.has_text(F.col("t"))).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("t")).alias("chars"))
 
 
-@_query()
+def _sql_number(n: str) -> str:
+    """The words of a whole number below 1000, from the tables of words."""
+    units = "[" + ", ".join(f"'{x}'" for x in UNITS) + "]"
+    tens = "[" + ", ".join(f"'{TENS.get(i, '')}'" for i in range(10)) + "]"
+    small = lambda m: f"CASE WHEN {m} < 20 THEN {units}[{m} + 1] WHEN {m} % 10 = 0 THEN {tens}[{m} // 10 + 1] ELSE {units}[{m} % 10 + 1] || 'og' || {tens}[{m} // 10 + 1] END"
+    hundreds = f"(CASE WHEN {n} // 100 = 1 THEN 'et' ELSE {units}[{n} // 100 + 1] END || ' hundrede')"
+    return f"CASE WHEN {n} = 100 THEN 'hundrede' WHEN {n} < 100 THEN {small(n)} WHEN {n} % 100 = 0 THEN {hundreds} ELSE {hundreds} || ' og ' || {small(f'({n} % 100)')} END"
+
+
+@_query(f"SELECT p_partkey, 'vare ' || {_sql_number('(p_partkey % 1000)')} || ' har ' || {_sql_number('p_size')} || ' dele' AS spelled FROM part")
 def numerals(spark, sf):
-    d = _t(spark, sf, "documents").where(F.col("text").rlike(r"\d"))
-    return d.select("doc_id", F.md5(numerals_to_words(F.col("text"))).alias("spelled_md5"))
+    said = F.concat(F.lit("vare "), (F.col("p_partkey") % 1000).cast("string"), F.lit(" har "), F.col("p_size").cast("string"), F.lit(" dele"))
+    return _t(spark, sf, "part").select("p_partkey", numerals_to_words(said).alias("spelled"))
 
 
 @_query(r"""
@@ -255,7 +278,20 @@ def cue_ids(spark, sf):
     return _t(spark, sf, "events").select("event_id", scalars.cue_id(F.col("event_type"), F.col("value"), F.col("value") + 1.5, F.col("props")).alias("id"))
 
 
-@_query()
+@_query(r"""
+WITH c AS (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS block, trim(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '<[^>]*>', ' ', 'g')) AS cur FROM conversations
+), p AS (
+  SELECT *, coalesce(lag(cur) OVER (PARTITION BY conv_id ORDER BY turn), '') AS prev FROM c
+), w AS (
+  SELECT *, list_filter(string_split(prev, ' '), lambda x: x <> '') AS a, list_filter(string_split(cur, ' '), lambda x: x <> '') AS b FROM p
+), k AS (
+  SELECT *, coalesce(list_max(list_filter(range(1, least(len(a), len(b)) + 1), lambda n: a[len(a) - n + 1:] = b[:n])), 0) AS k FROM w
+), t AS (
+  SELECT *, CASE WHEN prev = '' THEN cur WHEN prev = cur THEN '' WHEN starts_with(cur, prev) THEN trim(substr(cur, length(prev) + 1)) WHEN k = 0 THEN cur ELSE array_to_string(b[k + 1:], ' ') END AS text FROM k
+)
+SELECT conv_id, CAST(block AS INTEGER) AS block, CAST(turn AS DOUBLE) AS start, turn + CAST(0.5 AS DOUBLE) AS "end", md5(text) AS text_md5, CASE WHEN text = '' THEN 'empty' ELSE 'ok' END AS status FROM t
+""")
 def caption_parse(spark, sf):
     """Conversations written as WebVTT files, and parsed again."""
     clock = F.format_string("%02d:%02d:%02d.000", F.floor(F.col("turn") / 3600), F.floor(F.col("turn") / 60) % 60, F.col("turn") % 60)
@@ -285,39 +321,45 @@ def age_dialect(spark, sf):
     return c.select("c_custkey", scalars.age_group(F.col("c_custkey") % 90).alias("age_group"), scalars.dialect(sub, born).alias("dialect"))
 
 
-def _scored(spark: SparkSession, sf: str, text: Column | None = None) -> DataFrame:
-    """Labelled English documents as transcripts, with a prediction that drops and changes letters; whole unless text is a part of them."""
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled English documents, whole, as transcripts, with a prediction that drops and changes letters."""
     d = _t(spark, sf, "documents").where("lang = 'en'").join(_t(spark, sf, "labels"), "doc_id")
-    ref = F.regexp_replace(F.lower(F.col("text") if text is None else text), "[^a-z ]", " ")
+    ref = F.regexp_replace(F.lower("text"), "[^a-z ]", " ")
     hyp = F.regexp_replace(F.regexp_replace(ref, "th", "t"), "e[rn] ", "es ")
     return d.select("doc_id", F.concat(F.lit("age"), (F.col("doc_id") % 3).cast("string")).alias("age_group"), F.when(F.col("doc_id") % 7 > 0, F.when(F.col("doc_id") % 2 == 0, "female").otherwise("male")).alias("gender"), F.col("source").alias("dialect"), ref.alias("text"), hyp.alias("prediction"))
 
 
-def _cube_sql() -> str:
+def _named(spark: SparkSession, sf: str, *changes: tuple[str, str]) -> DataFrame:
+    """Names of parts as transcripts, with a prediction in which patterns are replaced."""
+    p, hyp = _t(spark, sf, "part"), F.col("p_name")
+    for pattern, new in changes:
+        hyp = F.regexp_replace(hyp, pattern, new)
+    return p.select(F.concat(F.lit("age"), (F.col("p_size") % 3).cast("string")).alias("age_group"), F.when(F.col("p_partkey") % 7 > 0, F.when(F.col("p_partkey") % 2 == 0, "female").otherwise("male")).alias("gender"), F.col("p_type").alias("dialect"), F.col("p_name").alias("text"), hyp.alias("prediction"))
+
+
+def _cube_sql(hyp: str, measures: dict[str, str], rates: str) -> str:
+    """The pruned cube over names of parts; measures of ref and hyp are summed, rates made of the sums."""
     cats, bits = ["age_group", "gender", "dialect"], [4, 2, 1]
     keep, joined = [], ""
     for i in range(3):
         for what, upto in (("b", i), ("a", i + 1)):
+            # the prefix has "any" from there on
             mask = sum(bits[upto:])
             on = " AND ".join([f"{what}{i}.gid = (c.gid | {mask})", *[f"{what}{i}.{x} IS NOT DISTINCT FROM c.{x}" for x in cats[:upto]]])
-            # the prefix has "any" from there on
-            joined += f" LEFT JOIN cube {what}{i} ON ({what}{i}.gid & {mask}) = {mask} AND " + on.replace(f"(c.gid | {mask})", f"(c.gid | {mask})")
+            joined += f" LEFT JOIN cube {what}{i} ON ({what}{i}.gid & {mask}) = {mask} AND {on}"
         keep.append(f"((c.gid & {bits[i]}) <> 0 OR (a{i}.n > 0 AND a{i}.n < b{i}.n))")
-    some = " AND ".join(f"((g & {b}) <> 0 OR {x} IS NOT NULL)" for x, b in zip(cats, bits, strict=True))
+    some = " AND ".join(f"((gid & {b}) <> 0 OR {x} IS NOT NULL)" for x, b in zip(cats, bits, strict=True))
     return f"""
-WITH s AS (
-  SELECT 'age' || (d.doc_id % 3) AS age_group, CASE WHEN d.doc_id % 7 > 0 THEN CASE WHEN d.doc_id % 2 = 0 THEN 'female' ELSE 'male' END END AS gender, source AS dialect,
-    regexp_replace(lower(substr(text, 1, 80)), '[^a-z ]', ' ', 'g') AS ref FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE lang = 'en'
-), e AS (
-  SELECT *, regexp_replace(regexp_replace(ref, 'th', 't', 'g'), 'e[rn] ', 'es ', 'g') AS hyp FROM s
+WITH e AS (
+  SELECT 'age' || (p_size % 3) AS age_group, CASE WHEN p_partkey % 7 > 0 THEN CASE WHEN p_partkey % 2 = 0 THEN 'female' ELSE 'male' END END AS gender, p_type AS dialect, trim(p_name) AS ref, trim({hyp}) AS hyp FROM part
 ), u AS (
-  SELECT age_group, gender, dialect, levenshtein(trim(ref), trim(hyp)) AS lev, length(trim(ref)) AS len FROM e
+  SELECT age_group, gender, dialect, {", ".join(f"{v} AS {k}" for k, v in measures.items())} FROM e
 ), g AS (
-  SELECT age_group, gender, dialect, grouping_id(age_group, gender, dialect) AS g, count(*) AS n, sum(lev) AS lev, sum(len) AS len FROM u GROUP BY CUBE (age_group, gender, dialect)
+  SELECT age_group, gender, dialect, grouping_id(age_group, gender, dialect) AS gid, count(*) AS n, {", ".join(f"sum({k}) AS {k}" for k in measures)} FROM u GROUP BY CUBE (age_group, gender, dialect)
 ), cube AS (
-  SELECT age_group, gender, dialect, g AS gid, n, lev, len FROM g WHERE {some}
+  SELECT * FROM g WHERE {some}
 )
-SELECT c.age_group, c.gender, c.dialect, c.n, CASE WHEN c.len > 0 THEN CAST(c.lev AS DOUBLE) / c.len END AS cer FROM cube c {joined} WHERE {" AND ".join(keep)}
+SELECT c.age_group, c.gender, c.dialect, c.n, {rates} FROM cube c {joined} WHERE {" AND ".join(keep)}
 """
 
 
@@ -327,30 +369,64 @@ def _cer_cube(scored: DataFrame) -> DataFrame:
     return scoring.pruned_cube(rows, ["age_group", "gender", "dialect"], {"cer": cer})
 
 
-@_query(_cube_sql())
+_SQL_CER = {"lev": "levenshtein(ref, hyp)", "len": "length(ref)"}
+
+
+@_query(_cube_sql("regexp_replace(regexp_replace(p_name, 'o', 'oe', 'g'), 'i[nr]g?', 'um', 'g')", _SQL_CER, "CASE WHEN c.len > 0 THEN CAST(c.lev AS DOUBLE) / c.len END AS cer"))
 def score_cube(spark, sf):
-    """Corpus character error rates of the first 80 characters, which is what its SQL asks; score_cube_whole has the whole texts."""
-    return _cer_cube(_scored(spark, sf, F.substring("text", 1, 80)))
+    """Corpus character error rates of all parts' names, by combinations of age, gender and dialect."""
+    return _cer_cube(_named(spark, sf, ("o", "oe"), ("i[nr]g?", "um")))
 
 
 @_query()
 def score_cube_whole(spark, sf):
-    """Corpus character error rates, by combinations of age, gender and dialect."""
+    """The same of whole documents, which are too long for the SQL engine's distance."""
     return _cer_cube(_scored(spark, sf))
 
 
-@_query()
+# where a prediction only lacks letters and words, all edits but those of changed words are deletions, so costs tell the operations
+@_query(_cube_sql("regexp_replace(p_name, '[aeu]|^(red|blue) ', '', 'g')", _SQL_CER | {
+    "wlev": "len(string_split(ref, ' ')) - len(string_split(hyp, ' ')) + CASE WHEN len(string_split(ref, ' ')) = len(string_split(hyp, ' ')) THEN (string_split(ref, ' ')[1] <> string_split(hyp, ' ')[1])::INT + (string_split(ref, ' ')[2] <> string_split(hyp, ' ')[2])::INT ELSE (string_split(ref, ' ')[2] <> string_split(hyp, ' ')[1])::INT END",
+    "wlen": "len(string_split(ref, ' '))"}, "CAST(c.lev AS DOUBLE) / c.len AS cer, CAST(c.wlev AS DOUBLE) / c.wlen AS wer"))
 def score_cube_normalised(spark, sf):
-    rows = _scored(spark, sf).withColumn("c", metrics.char_edits(F.col("text"), F.col("prediction"))).withColumn("w", metrics.word_edits(F.col("text"), F.col("prediction")))
+    rows = _named(spark, sf, ("[aeu]|^(red|blue) ", "")).withColumn("c", metrics.char_edits(F.col("text"), F.col("prediction"))).withColumn("w", metrics.word_edits(F.col("text"), F.col("prediction")))
     rates = {name: metrics.rate(*[F.sum(f"{e}.{x}") for x in "sdih"]) for name, e in (("cer", "c"), ("wer", "w"))}
     return scoring.pruned_cube(rows, ["age_group", "gender", "dialect"], rates)
 
 
-@_query()
+@_query(r"""
+WITH p AS (SELECT conv_id, text AS t, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations),
+s AS (SELECT conv_id, trim(regexp_replace(t, '[^!-~]', ' ', 'g')) AS t, trim(regexp_replace(p, '[^!-~]', ' ', 'g')) AS p FROM p WHERE p IS NOT NULL AND t IS NOT NULL)
+SELECT conv_id, CASE WHEN sum(length(p)) > 0 THEN CAST(sum(levenshtein(p, t)) AS DOUBLE) / sum(length(p)) END AS cer FROM s GROUP BY conv_id
+""")
 def cer_by_turn(spark, sf):
+    """The error rate of each whole turn as a guess at the one before it; costs only, which don't depend on the alignment chosen. Characters outside ASCII count as a space each, as the SQL engine's distance goes by bytes."""
     before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    pairs = _t(spark, sf, "conversations").select("conv_id", F.col("text").alias("t"), before.alias("p")).where("p is not null")
-    return metrics.error_rate(pairs.withColumn("c", metrics.char_edits(F.col("p"), F.col("t"))), "c", "cer", ["conv_id"])
+    plain = lambda c: F.regexp_replace(c, "[^!-~]", " ")
+    pairs = _t(spark, sf, "conversations").select("conv_id", plain(F.col("text")).alias("t"), plain(before).alias("p")).where("p is not null and t is not null")
+    return metrics.error_rate(pairs.withColumn("c", metrics.char_edits(F.col("p"), F.col("t"))), "c", "cer", ["conv_id"], normalise=False)
+
+
+@_query("""
+WITH e AS (SELECT p_partkey, p_name AS label, regexp_replace(p_name, '[aeiou]', '', 'g') AS prediction FROM part WHERE p_size > 16 * 0.25),
+r AS (SELECT *, CAST(length(label) - length(prediction) AS DOUBLE) / length(label) AS cer, CAST((string_split(label, ' ')[1] <> string_split(prediction, ' ')[1])::INT + (string_split(label, ' ')[2] <> string_split(prediction, ' ')[2])::INT AS DOUBLE) / 2 AS wer FROM e)
+SELECT p_partkey, prediction AS asr_prediction, label AS asr_label, 'model' AS asr_validation_model, cer AS asr_cer, wer AS asr_wer FROM r WHERE cer < 0.3
+""")
+def validations(spark, sf):
+    """Names of parts as transcripts of p_size samples at 16 a second, against predictions without vowels."""
+    p = _t(spark, sf, "part").select("p_partkey", F.col("p_name").alias("text"), F.array_repeat(F.lit(0.5), F.col("p_size")).alias("audio"), F.regexp_replace(F.upper("p_name"), "[AEIOU]", "").alias("guess"))
+    return validation.add_validations(p, "text", "audio", "guess", 16, "model", KEEP, 0.3).drop("text", "audio")
+
+
+@_query("""
+WITH l AS (SELECT l_orderkey AS id, string_agg(chr(CAST(97 + l_partkey % 26 AS INTEGER)), '' ORDER BY l_linenumber, l_partkey) AS t FROM lineitem GROUP BY l_orderkey)
+SELECT id % 10 AS part, CAST(sum(1) AS DOUBLE) / sum(length(t)) AS cer, CAST(sum(1) AS DOUBLE) / sum(1) AS wer FROM l GROUP BY id % 10
+""")
+def token_rates(spark, sf):
+    """Orders as ids of letters, and the same without the last one, padded."""
+    rows = _labels(spark, sf).select((F.col("id") % 10).alias("part"), F.transform("labels", lambda x: x % 26).alias("labels"))
+    cut = F.concat(F.slice("labels", F.lit(1), F.size("labels") - 1), F.array(F.lit(arrays.IGNORED).cast("bigint")))
+    return validation.token_error_rates(rows.withColumn("ids", cut), "ids", "labels", {i: chr(97 + i) for i in range(26)}, 26, ["part"])
 
 
 @_query("""
@@ -381,7 +457,23 @@ def language_share(spark, sf):
     return mix.language_share(per.withColumn("probability", F.col("n") / F.col("all_"))).select("language", F.round("share", 9).alias("share"))
 
 
-@_query()
+@_query("""
+WITH w AS (
+  SELECT lang, CASE lang WHEN 'en' THEN 5 WHEN 'fr' THEN 3 WHEN 'de' THEN 2 ELSE 1 END AS w, count(*) AS n, row_number() OVER (ORDER BY lang NOT IN ('en', 'fr', 'de') OR lang IS NULL, lang IS NULL, lang) - 1 AS source FROM documents GROUP BY lang
+), p AS (
+  SELECT *, w / CAST(sum(w) OVER () AS DOUBLE) AS p FROM w
+), h AS (
+  SELECT *, max(n / p) OVER () AS horizon FROM p
+), d AS (
+  SELECT *, greatest(n, CAST(floor(horizon * p) AS BIGINT)) AS drawn FROM h
+), r AS (
+  SELECT doc_id, d.*, row_number() OVER (PARTITION BY d.source ORDER BY doc_id) - 1 AS place FROM documents x JOIN d ON x.lang IS NOT DISTINCT FROM d.lang
+), k AS (
+  SELECT *, unnest(range(0, CAST(floor((drawn - 1 - place) / CAST(n AS DOUBLE)) AS BIGINT) + 1)) AS round FROM r
+)
+SELECT doc_id, lang, CAST(round AS INTEGER) AS round, CAST(source AS INTEGER) AS source,
+  (round * n + place + CAST(('0x' || substr(md5('4242' || chr(1) || source || chr(1) || (round * n + place)), 1, 5)) AS BIGINT) / CAST(1048576 AS DOUBLE)) / p AS step FROM k
+""")
 def interleave(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", "lang")
     # a source for each language that occurs, null too
@@ -391,9 +483,11 @@ def interleave(spark, sf):
     return mix.interleave(parts or [d], ["doc_id"], seed=4242, probabilities=[w / sum(weights) for w in weights] or [1.0])
 
 
-@_query()
+@_query("SELECT o_orderkey, row_number() OVER (ORDER BY md5('4242' || chr(1) || o_orderkey), o_orderkey) - 1 AS place FROM orders")
 def seeded_shuffle(spark, sf):
-    return mix.seeded_shuffle(_t(spark, sf, "orders").select("o_orderkey"), 4242, "o_orderkey")
+    """Orders with their places in a shuffle."""
+    ranked = _t(spark, sf, "orders").select("o_orderkey", mix.shuffle_rank(4242, "o_orderkey").alias("rank"))
+    return numbered(ranked, ["rank", "o_orderkey"], "shuffled", "place").select("o_orderkey", "place")
 
 
 @_query("""

@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..store import written
+
 # Configuration keys that hold secrets or paths.
 SECRETS = {
     "access_token", "api_key", "apikey", "auth_token", "client_secret", "cookie", "credentials", "hf_token", "huggingface_hub_token", "huggingface_token",
@@ -18,21 +20,41 @@ PATHS = {"cache", "manifest", "output", "path"}
 SCHEMA = "source_wav_path string, start double, end double, duration double, text string, id string, language string"
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line): the lines of a text file, or of files in the order of their names, numbered from 0.
+
+    Lines are written once with their place in their task. A row for each block of a
+    file then tells where the block's lines begin.
+    """
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    lines = written(read, "manifest-lines")
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("from"), F.count(F.lit(1)).alias("n")).select("file", "block", "from", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return lines.join(blocks, ["file", "block"]).select((F.col("first") + F.col("at") - F.col("from")).alias("place"), "line")
+
+
 def read_manifest(spark: SparkSession, path: str, least: float, most: float, shards: Sequence[int] = (0,), num_shards: int = 1) -> DataFrame:
     """The manifest's rows longer than least and shorter than most seconds, of the given shards.
 
-    Line n, from 1, belongs to shard (n - 1) modulo num_shards. A negative duration
-    is an error that names the line, whichever shard it belongs to.
+    Line n, from 1, belongs to shard (n - 1) modulo num_shards. A line that is no JSON
+    object with a duration, or has a negative one, is an error that names the line,
+    whichever shard it belongs to; so are shards that are not in [0, num_shards).
     """
-    if isinstance(num_shards, bool) or not isinstance(num_shards, int) or num_shards <= 0:
+    if not _is_whole(num_shards) or num_shards <= 0:
         raise ValueError("num_shards must be a positive whole number")
-    # a JSON line file is numbered by its byte order: one small job counts lines by partition
-    lines = spark.read.text(path).rdd.zipWithIndex().map(lambda r: (r[1], r[0][0])).toDF("place long, line string")
-    rows = lines.where("line <> ''").select("place", F.from_json("line", SCHEMA).alias("r"))
-    bad = rows.where("r.duration < 0").orderBy("place").limit(1).select("place").collect()
-    if bad:
-        raise ValueError(f"line {bad[0].place + 1}: negative duration")
-    return rows.where((F.col("place") % num_shards).isin(*shards)).select("r.*").where(f"duration > {float(least)} and duration < {float(most)}")
+    if not shards or not all(_is_whole(s) and 0 <= s < num_shards for s in shards):
+        raise ValueError(f"shards must be whole numbers in [0, {num_shards})")
+    parsed = F.from_json("line", SCHEMA + ", bad_ string", {"columnNameOfCorruptRecord": "bad_"})
+    rows = numbered_lines(spark, path).where("line <> ''").select("place", parsed.alias("r"))
+    wrong = F.when(F.col("r.bad_").isNotNull() | F.col("r.duration").isNull(), "no row of a manifest").when(F.col("r.duration") < 0, "negative duration")
+    first = rows.select("place", wrong.alias("wrong")).where("wrong is not null").agg(F.min(F.struct("place", "wrong")).alias("w")).first().w
+    if first:
+        raise ValueError(f"line {first.place + 1}: {first.wrong}")
+    return rows.where((F.col("place") % num_shards).isin(*shards)).select("r.*").drop("bad_").where(f"duration > {float(least)} and duration < {float(most)}")
+
+
+def _is_whole(x: object) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool)
 
 
 def read_captions(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,26 +70,28 @@ def pair_with_audio(captions: DataFrame, audio: DataFrame) -> DataFrame:
     return left.join(right, "stem_", "left").drop("stem_")
 
 
-def _renamed(spark: SparkSession, staged: str, path: str) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    source, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    fs = source.getFileSystem(conf)
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"{path} can't be put in place")
-
-
 def write_manifest(df: DataFrame, path: str) -> None:
-    """JSON lines, first written beside the path and then put in its place; a failed write leaves what was there."""
-    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
+    """JSON lines, first written beside the path and then put in its place.
+
+    What was there is moved aside before, and back if the new one can't be put in its
+    place, so either the old or the new manifest is there at the end.
+    """
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    staged, aside = (f"{path.rstrip('/')}.{uuid.uuid4().hex}.{end}" for end in ("tmp", "old"))
+    new, old, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (staged, aside, path))
+    fs = target.getFileSystem(conf)
     try:
         df.write.json(staged)
-    except Exception:
-        jvm = df.sparkSession.sparkContext._jvm
-        left = jvm.org.apache.hadoop.fs.Path(staged)
-        left.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(left, True)
-        raise
-    _renamed(df.sparkSession, staged, path)
+        there = fs.exists(target)
+        if there and not fs.rename(target, old):
+            raise OSError(f"{path} can't be moved aside")
+        if not fs.rename(new, target):
+            if there:
+                fs.rename(old, target)
+            raise OSError(f"{path} can't be put in place")
+        fs.delete(old, True)
+    finally:
+        fs.delete(new, True)
 
 
 def write_corpus(df: DataFrame, path: str, text: str = "text") -> None:
@@ -101,9 +125,11 @@ def vocabulary_json(df: DataFrame) -> dict[str, int]:
 
 def redact(value: object, key: str = "") -> object:
     """A nested configuration without secrets and paths, for publication."""
-    name = key.lower()
+    if value is None:
+        return None
+    name = key.lower().replace("-", "_")
     if name == "resume_from_checkpoint":
-        return value if value is None or isinstance(value, bool) else "<redacted>"
+        return value if isinstance(value, bool) else "<redacted>"
     if name in SECRETS:
         return "<redacted>"
     if isinstance(value, Mapping):

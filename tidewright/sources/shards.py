@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MOST_SHARDS = 100_000
 _REVISION = re.compile(r"[0-9a-fA-F]{40}\Z")
-_FIELD = re.compile(r"0\d+d\Z")
+_FIELD = re.compile(r"(0?\d*d)?\Z")
 
 
 def validate_revision(revision: object, label: str = "revision") -> str:
@@ -31,7 +31,7 @@ def _whole(value: object, name: str) -> int:
 def select_shards(selection: Mapping[str, object], listing: Iterable[str], revision: str) -> list[str]:
     """The files of {template, start, end}, both ends included, that the listing has, in order.
 
-    The template is a relative path with one field like {shard:05d}.
+    The template is a relative path with one field, {shard} or one with a width, like {shard:05d}.
     """
     validate_revision(revision)
     if set(selection) != {"template", "start", "end"}:
@@ -41,7 +41,7 @@ def select_shards(selection: Mapping[str, object], listing: Iterable[str], revis
         raise ValueError("the template must be a relative path")
     fields = [(name, spec, conv) for _, name, spec, conv in Formatter().parse(template) if name is not None]
     if len(fields) != 1 or fields[0][0] != "shard" or not _FIELD.match(fields[0][1] or "") or fields[0][2]:
-        raise ValueError("the template must have one field, {shard:0Nd}")
+        raise ValueError("the template must have one field, {shard} or {shard:0Nd}")
     if not 0 <= start <= end:
         raise ValueError("0 <= start <= end is needed")
     if end - start >= MOST_SHARDS:
@@ -61,13 +61,12 @@ def read_shards(spark: SparkSession, root: str, selection: Mapping[str, object],
 
 
 def parse_name(name: str) -> tuple[str, str | None, str | None]:
-    """(id, subset, revision) of id[::subset][@revision], in either order of the last two."""
-    match = re.fullmatch(r"([^@:]+(?:(?!::)[^@])*?)(?:::([^@]+))?(?:@(.+?))?", name) if "@" not in name.split("::")[0] else re.fullmatch(r"([^@]+)@([^:]+)(?:::(.+))?", name)
-    if not match:
+    """(id, subset, revision) of id[::subset][@revision], in either order of the last two; a single colon will do where there is no double one."""
+    cut = re.split("(::|@)", name if "::" in name else name.replace(":", "::"))
+    found = dict(zip(cut[1::2], cut[2::2], strict=True))
+    if not cut[0] or len(found) != len(cut) // 2 or not all(found.values()):
         raise ValueError(f"not a dataset name: {name!r}")
-    if "@" in name.split("::")[0]:
-        return match[1], match[3], match[2]
-    return match[1], match[2], match[3]
+    return cut[0], found.get("::"), found.get("@")
 
 
 def cache_identity(dataset_id: str, subset: str | None, split: str, revision: str | None, purpose: str, max_samples: int | None = None, **options: object) -> str:
@@ -77,6 +76,11 @@ def cache_identity(dataset_id: str, subset: str | None, split: str, revision: st
     return f"{dataset_id.replace('/', '--')}-{hashlib.sha256(text.encode()).hexdigest()}"
 
 
+def corpus_file(folder: str, names: Iterable[str]) -> str:
+    """Where the sentences of these datasets are kept: named by the MD5 of their joined names."""
+    return f"{folder.rstrip('/')}/ngram-sentences-{hashlib.md5(','.join(names).encode()).hexdigest()}.txt"
+
+
 def cached(spark: SparkSession, folder: str, identity: str, build) -> DataFrame:
     """The Parquet table of that identity, built and written on the first use."""
     path = f"{folder.rstrip('/')}/{identity}"
