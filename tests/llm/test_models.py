@@ -141,10 +141,14 @@ def test_mixing_of_nothing(spark):
 
 
 def replaced(spark, *texts):
-    rows = spark.createDataFrame([(i, t, "keep") for i, t in enumerate(texts)], "doc_id long, text string, key_ string").withColumnRenamed("key_", "note")
-    out = pii.replace_pii(rows, "k").orderBy("doc_id").collect()
-    assert all(r.note == "keep" for r in out)
-    return [r.text for r in out], [r.n_entities for r in out]
+    """Columns that a careless implementation would use itself are in the way."""
+    names = ["key_", "new_", "pii_key", "n_entities", "a.b", "KEY"]
+    schema = ", ".join(["doc_id long, text string", *[f"`{n}` string" for n in names]])
+    df = pii.replace_pii(spark.createDataFrame([(i, t, *names) for i, t in enumerate(texts)], schema), "k")
+    assert df.columns == ["doc_id", "text", *names, "n_entities_"]
+    out = df.orderBy("doc_id").collect()
+    assert all(list(r[2:-1]) == names for r in out)
+    return [r.text for r in out], [r.n_entities_ for r in out]
 
 
 def test_pii_is_replaced_in_format(spark):
@@ -167,6 +171,66 @@ def test_names_keep_gender_script_and_coreference(spark):
     assert re.fullmatch(r"Госпожа [А-Я][а-я]+ [А-Я][а-я]+", texts[2]) and "Петрова" not in texts[2]
 
 
+def test_a_person_is_one_identity(spark):
+    texts, n = replaced(spark, "Dr. Maria Lopez and Mrs. Maria Lopez", "Mr. John Smith came. Smith said so, and John's friend Smithson, too. smith", "A Smith elsewhere")
+    a = re.fullmatch(r"Dr\. (\w+) (\w+) and Mrs\. (\w+) (\w+)", texts[0])
+    assert a[1] == a[3] and a[2] == a[4] and a[1].endswith(tuple(pii.ENDINGS["latin", "f"]))
+    b = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) said so, and (\w+)'s friend Smithson, too\. smith", texts[1])
+    assert b[2] == b[3] != "Smith" and n == [2, 3, 0] and texts[2] == "A Smith elsewhere" and b[4] == b[1] != "John"
+    assert replaced(spark, "Mr. Smith's and Mr. O'Brien-Jones’s")[0][0].endswith("’s") and "'s and" in replaced(spark, "Mr. Smith's and x")[0][0]
+    later, n = replaced(spark, "Mr. John Smith came. John left. Smith, Ann-Smith")
+    c = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) left\. (\w+), Ann-Smith", later[0])
+    assert (c[1], c[2]) == (c[3], c[4]) and n == [3]
+
+
+def test_ranges_countries_and_domains_stay(spark):
+    texts, _ = replaced(spark, "192.168.1.1 10.1.2.3 172.20.0.1 127.0.0.1 8.8.8.8", "x@y.de and a@b.co.uk", "+49 30 1234567, +358 40 123 4567, +1 212 555 0101")
+    assert re.fullmatch(r"192\.168\.\d+\.\d+ 10\.\d+\.\d+\.\d+ 172\.(1[6-9]|2\d|3[01])\.\d+\.\d+ 127\.\d+\.\d+\.\d+ \d+\.\d+\.\d+\.\d+", texts[0])
+    assert int(texts[0].split()[-1].split(".")[0]) in pii.PUBLIC
+    assert re.fullmatch(r"\w+@\w+\.example\.de and \w+@\w+\.example\.co\.uk", texts[1])
+    assert re.fullmatch(r"\+49 \d\d \d{7}, \+358 \d\d \d{3} \d{4}, \+1 \d{3} \d{3} \d{4}", texts[2]) and "1234567" not in texts[2]
+
+
+def test_crowded_forms_grow_and_stay_distinct(spark):
+    """More names and secrets than the first forms hold at the least draw: all draws end, none is shared, none is a real one."""
+    real = [f"password={i:06d}" for i in range(0, 3000)]
+    texts, _ = replaced(spark, *real, *[f"192.168.{i // 250}.{i % 250}" for i in range(2500)])
+    assert len(set(texts)) == len(texts) and not set(texts) & set(real)
+
+
+def test_detection_against_brute_force(spark):
+    """Every match of the pattern, found by another engine, is replaced, and nothing else is; the tokens' map is one to one."""
+    import regex
+
+    pattern = regex.compile(pii.PATTERN.replace("\\p{IsCyrillic}", "\\p{Cyrillic}"))
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(10**6, None), (10**6, ""), (None, "x " * 300_000 + "call +1 212 555 0101"), (None, "a@b.de"), (7, docs[0][1]), (7, docs[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {(r.doc_id, r.text_): (r.text, r.n_entities) for r in pii.replace_pii(df.withColumn("text_", F.col("text")), "k").collect()}
+    mails, some = {}, 0
+    for i, t in docs:
+        new, n = out[i, t]
+        assert t is None and new is None or regex.search(pii.HINT, t) or not pattern.search(t)
+        matches = [] if t is None else [m[0] for m in pattern.finditer(t)]
+        names = {w for m in matches if regex.fullmatch(pii.NAME, m) for w in m.split(" ")[1:] if len(w) >= pii.SHORTEST}
+        if names:
+            rest = "|".join(sorted(names, key=lambda w: (-len(w), w)))
+            again = regex.compile(f"{pattern.pattern}|{pii._BEFORE}(?:{rest}){pii._AFTER}")
+            matches = [m[0] for m in again.finditer(t)]
+            pieces = again.split(t)
+        else:
+            pieces = [t] if not matches else pattern.split(t)
+        assert n == len(matches), (i, matches)
+        if matches:
+            some += 1
+            found = regex.fullmatch("(.*?)".join(map(regex.escape, pieces)), new, regex.DOTALL) if len(pieces) < 40 else True
+            assert found and new != t
+            for old, now in zip(matches, found.groups() if found is not True else [], strict=False):
+                if regex.fullmatch(pii.EMAIL, old):
+                    assert mails.setdefault(old.lower(), now.lower()) == now.lower()
+    assert some > 50 and len(set(mails.values())) == len(mails)
+
+
 def test_surrogates_are_distinct(spark):
     texts, _ = replaced(spark, *[f"{i % 10}@b{i}.org 10.0.{i // 250}.{i % 250}" for i in range(800)])
     for part in (0, 1):
