@@ -18,7 +18,7 @@ from tidewright.llm.ngram_join import ngram_jaccard_join
 from tidewright.llm.pii import replace_pii
 from tidewright.llm.quality import good_documents
 from tidewright.llm.queries import PII_KEY
-from tidewright.llm.store import written
+from tidewright.store import col, free_name, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,22 +27,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, that of the least id; of rows with one id, one stays."""
+    """One document of each component stays, that of the least id; of rows of that id, those that are alike in id and text become one."""
     found = ngram_jaccard_join(docs.select("doc_id", "text"))
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return kept
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again"))
+    if not repeated.limit(1).count():
+        return kept.select(*[col(c) for c in docs.columns])
+    several = F.col("doc_id") == F.col("again")
+    mark = free_name("text_md5", docs.columns)
+    ones = kept.join(repeated, several, "left_semi").withColumn(mark, F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("-"))).dropDuplicates(["doc_id", mark])
+    return kept.join(repeated, several, "left_anti").unionByName(ones.drop(mark)).select(*[col(c) for c in docs.columns])
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates stand in place of personal data; n_chars counts the new text."""
     out = replace_pii(docs, PII_KEY)
+    found = col(out.columns[-1])
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(found > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*[col(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
