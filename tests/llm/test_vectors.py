@@ -79,3 +79,45 @@ def test_repeated_rows(spark):
 
 def test_calibration():
     assert embed_dedup.count_needed() <= embed_dedup.WINDOWS and embed_dedup.tables_needed(0.95, 10) > 1
+
+
+def test_recall_with_a_large_cluster(spark):
+    """Measured again in each run: link ends found, of a cluster of 2,500 near copies with pairs just at the cosine, small groups and single vectors."""
+    rng = np.random.default_rng(5)
+    one = rng.standard_normal(64)
+    cluster = one / np.linalg.norm(one) + rng.standard_normal((2500, 64)) * 0.0275
+    groups = np.repeat(rng.standard_normal((300, 64)), 3, axis=0)
+    groups = groups / np.linalg.norm(groups, axis=1, keepdims=True) + rng.standard_normal((900, 64)) * 0.02
+    v = np.vstack([cluster, groups, rng.standard_normal((2600, 64))]).astype(np.float32)
+    got = {r.vec_id: r for r in near_duplicates(table(spark, [(i, x.tolist()) for i, x in enumerate(v)])).collect()}
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    want, found = near.sum(axis=1), np.array([got[i].n_links for i in range(len(v))])
+    assert 0.2 < near[:2500, :2500].mean() < 0.9
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    assert {got[i].component_id for i in np.flatnonzero(want[:2500])} == {int(np.flatnonzero(want)[0])}
+
+
+def test_bounds_leave_few_pairs():
+    """Vectors of all directions alike, the hardest: of 20,000 candidates most are ruled out, and the best are found."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((20_000, 64))
+    x = topk.scaled(x / np.linalg.norm(x, axis=1, keepdims=True))
+    t = topk.make_table(x[:1024], float((x * x).sum(axis=1).max()))
+    ids, q = np.arange(20_000), x[:50]
+    found, evaluated = topk.search(t, x, ids, q, ids[:50], np.full(50, np.inf), 10)
+    assert evaluated < 0.05 * 50 * 20_000
+    for i, (best, scores) in enumerate(found):
+        s = (x @ q[i]).astype(np.int64)
+        want = [k for k in np.lexsort((ids, -s)) if k != i][:10]
+        assert best.tolist() == want and scores.tolist() == s[want].tolist()
+
+
+def test_repeated_queries_and_lengths(spark):
+    rows = [(0, [1.0, 2.0]), (0, [0.5, 9.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0] * 3), (4, [2.0] * 3)]
+    df = table(spark, rows)
+    got = sorted(tuple(r) for r in top_k(df, df.where("vec_id in (0, 3)"), 3).collect())
+    # the least vector of query 0; a repeated candidate counts each time
+    assert got == [(0, 1, 1, 512 * 1024), (0, 2, 2, 512 * 1024), (0, 3, 2, 512 * 1024), (3, 1, 4, 3 * 2 * 1024 * 1024)]

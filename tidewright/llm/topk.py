@@ -2,7 +2,7 @@
 
 With one more component, the root of what its squared length lacks of the
 greatest, every vector gets one length, and the largest inner product becomes the
-least Euclidean distance. A table holds each vector's distances to PIVOTS + 1 pivots.
+least Euclidean distance. A table holds each vector's distances to many pivots.
 In Euclidean space they say more than that two distances to a pivot differ: they
 place a vector above the pivots' simplex, at known coordinates and a known height,
 and the distance of two such places bounds theirs from below. That is the maximum
@@ -30,8 +30,8 @@ from .batches import lean, trim
 from .store import written
 from .vectors import matrix, usable
 
-#: Pivots beside the first one.
-PIVOTS = 48
+#: Pivots beside the first one, at most, and of how many components there is one.
+PIVOTS, SHARE = 256, 7 / 8
 CENTRES = 64
 #: Bounded sample that pivots and centres are chosen from, and lengths of vectors that get some; others are compared with all of their length.
 SAMPLE, LENGTHS = 1024, 64
@@ -122,7 +122,7 @@ def make_table(sample: np.ndarray, most: float) -> Table:
     if not np.isfinite(most) or most > 1e200 or not len(sample):
         return Table(float(np.nan_to_num(most, posinf=0)), np.zeros((0, sample.shape[1] + 1)), np.zeros((1, sample.shape[1] + 1)))
     lifted = Table(most, np.zeros((0, 1)), np.zeros((0, 1))).lifted(sample, False)
-    return Table(most, _chosen(lifted, PIVOTS), _spread(lifted, CENTRES))
+    return Table(most, _chosen(lifted, min(PIVOTS, int(SHARE * sample.shape[1]))), _spread(lifted, CENTRES))
 
 
 def search(table: Table, x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, kth: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
