@@ -105,7 +105,7 @@ def test_bounds_leave_few_pairs():
     rng = np.random.default_rng(6)
     x = rng.standard_normal((20_000, 64))
     x = topk.scaled(x / np.linalg.norm(x, axis=1, keepdims=True))
-    t = topk.make_table(x[:1024], float((x * x).sum(axis=1).max()))
+    t = topk.make_table(x[:1024], float((x * x).sum(axis=1).max()), len(x))
     ids, q = np.arange(20_000), x[:50]
     found, evaluated = topk.search(t, x, ids, q, ids[:50], np.full(50, np.inf), 10)
     assert evaluated < 0.05 * 50 * 20_000

@@ -117,12 +117,12 @@ def _spread(sample: np.ndarray, k: int) -> np.ndarray:
     return sample[chosen]
 
 
-def make_table(sample: np.ndarray, most: float) -> Table:
-    """sample: scaled vectors. Squares beyond doubles leave no pivot, so every candidate is evaluated."""
+def make_table(sample: np.ndarray, most: float, n: int) -> Table:
+    """sample: scaled vectors, of n. Squares beyond doubles leave no pivot, so every candidate is evaluated."""
     if not np.isfinite(most) or most > 1e200 or not len(sample):
         return Table(float(np.nan_to_num(most, posinf=0)), np.zeros((0, sample.shape[1] + 1)), np.zeros((1, sample.shape[1] + 1)))
     lifted = Table(most, np.zeros((0, 1)), np.zeros((0, 1))).lifted(sample, False)
-    return Table(most, _chosen(lifted, min(PIVOTS, int(SHARE * sample.shape[1]))), _spread(lifted, CENTRES))
+    return Table(most, _chosen(lifted, min(PIVOTS, int(SHARE * sample.shape[1]))), _spread(lifted, min(CENTRES, -(-n // CANDIDATES))))
 
 
 def search(table: Table, x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, kth: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
@@ -197,9 +197,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     cand, query = of(vectors), of(queries).groupBy("id", "dim").agg(F.min("v").alias("v")).groupBy("id").agg(F.min(F.struct("dim", "v")).alias("x")).select("id", "x.v", "x.dim")
     query = written(query, "topk-queries")
     floor2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.floor(x * 1024.0).cast("double") * F.floor(x * 1024.0).cast("double"))
-    most = {r.dim: r.m for r in cand.groupBy("dim").agg(F.max(floor2).alias("m"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()}
+    most = {r.dim: (r.m, r.n) for r in cand.groupBy("dim").agg(F.max(floor2).alias("m"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()}
     sample = cand.select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id", "v").limit(SAMPLE).collect()
-    tables = {d: make_table(scaled(np.array([r.v for r in sample if len(r.v) == d], dtype=np.float64).reshape(-1, d)), m) for d, m in most.items()}
+    tables = {d: make_table(scaled(np.array([r.v for r in sample if len(r.v) == d], dtype=np.float64).reshape(-1, d)), *m) for d, m in most.items()}
     shared = spark.sparkContext.broadcast(tables)
 
     def table_of(dim: int) -> Table:
