@@ -1,13 +1,20 @@
-"""Substring dedup: passages that also stand in an earlier document, found by exact lookup of windows.
-
-The reference is the corpus itself, dealt by hash into buckets: a bucket knows,
-for each 13-word window that falls into it, the earliest document that has the
-window. Every window of a document is looked up, so exactly the words under a
-window that starts in an earlier document are covered. This takes the place of a
-relative Lempel-Ziv parse, which would have to look up the windows over its
-factor boundaries as well. Factors are labels made afterwards: runs of windows
-that follow each other with one earliest document. A long copy is split where a
-window has an earlier owner, so they are no greedy factorisation.
+"""Substring dedup: relative Lempel-Ziv parsing of each document against the documents before it.
+
+The reference of the parse is the corpus in the order of ids, of which each window
+of 13 words is indexed at its first occurrence: a document and a place in it. The
+index is dealt by hash into blocks, and each document's windows are looked up in
+all of them. The parse is greedy: at the first window that an earlier document has,
+a factor begins, (document, place, length), and it grows word by word as long as the
+next window's first occurrence is the next place of that document; then, at the
+first window that the factor does not cover, the next one may begin. So windows
+over the boundary of two factors are looked up like all others, and a factor
+decodes to words of the reference. Factors have 13 words or more; the words under
+them are duplicates.
+
+As a window counts at its first occurrence only, a passage that was itself put
+together from earlier ones parses into factors of these. The words under factors are
+the same as in a parse against all occurrences, for which every earlier document would
+have to meet every later one.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import ask, batch_table, bucket_bounds, cut_keys, join_keys, meet, prefix_bytes, text_batch, unpack
+from .store import release, written
 from .words import Batch, windows
 
 WORDS = 13
@@ -28,7 +36,7 @@ WORDS = 13
 class _Windows:
     """The windows of a batch whose texts are ordered by id.
 
-    ``keys[i]``, in the order of hashes, is first found in the text ``owner[i]``;
+    ``keys[i]``, in the order of hashes, is first found in the text ``owner[i]`` at its word ``spot[i]``;
     ``at[j]`` is the key of the window that starts at word ``place[j]``.
     """
 
@@ -48,13 +56,15 @@ class _Windows:
         self.keys = keys[head]
         self.at = np.empty(len(keys), dtype=np.int64)
         self.at[order] = np.cumsum(head) - 1
-        self.owner = b.doc[self.place[order[head]]]
+        first = self.place[order[head]]
+        self.owner = b.doc[first]
+        self.spot = first - b.first[self.owner]
 
     def requests(self, lead: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(bucket, its keys by index) in the order of the texts that own them."""
+        """(bucket, its keys by index) in the order of the texts that own them and of their places there."""
         buckets, bounds = bucket_bounds(self.keys, lead)
         for b, x, y in zip(buckets.tolist(), bounds[:-1], bounds[1:], strict=True):
-            yield b, x + np.argsort(self.owner[x:y], kind="stable")
+            yield b, x + np.lexsort((self.spot[x:y], self.owner[x:y]))
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -74,10 +84,14 @@ def _request(lead: int, k: int):
         for bucket, own in w.requests(lead):
             docs, counts = np.unique(w.owner[own], return_counts=True)
             ids = w.id[docs]
-            rows.append((bucket, batch, int(ids[0]), _small(np.diff(ids)), _small(counts), cut_keys(w.keys[own], lead)))
+            # places as steps from one to the next within a text
+            spots = np.diff(w.spot[own], prepend=0)
+            starts = np.cumsum(counts) - counts
+            spots[starts] = w.spot[own[starts]]
+            rows.append((bucket, batch, int(ids[0]), _small(np.diff(ids)), _small(counts), _small(spots), cut_keys(w.keys[own], lead)))
         if rows:
-            names = ("bucket", "batch", "first_id", "steps", "counts", "keys")
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            names = ("bucket", "batch", "first_id", "steps", "counts", "spots", "keys")
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=list(names))
 
     return request
@@ -85,47 +99,52 @@ def _request(lead: int, k: int):
 
 def _answer(lead: int):
     def answer(table: pa.Table) -> pa.Table:
-        """For each key of each batch: whether an earlier document has it, and for those that document's id."""
-        parts, ids = [], []
-        for first, steps, counts, keys in zip(*(table[c].to_pylist() for c in ("first_id", "steps", "counts", "keys")), strict=True):
+        """For each key of each batch: whether an earlier document has it, and for those that document's id and the place there."""
+        parts, ids, places = [], [], []
+        for first, steps, counts, spots, keys in zip(*(table[c].to_pylist() for c in ("first_id", "steps", "counts", "spots", "keys")), strict=True):
+            counts, spots = _large(counts), _large(spots)
             parts.append(join_keys(keys, lead))
-            ids.append(np.repeat(first + np.concatenate(([0], np.cumsum(_large(steps)))), _large(counts)))
-        keys, doc = np.concatenate(parts), np.concatenate(ids)
-        order = np.argsort(keys)
+            ids.append(np.repeat(first + np.concatenate(([0], np.cumsum(_large(steps)))), counts))
+            run, starts = np.cumsum(spots), np.cumsum(counts) - counts
+            places.append(run - np.repeat(run[starts] - spots[starts], counts))
+        keys, doc, place = np.concatenate(parts), np.concatenate(ids), np.concatenate(places)
+        order = np.lexsort((place, doc, keys))
         sorted_keys = keys[order]
         head = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
-        least = np.empty(len(keys), dtype=np.int64)
-        least[order] = np.repeat(np.minimum.reduceat(doc[order], head), np.diff(np.append(head, len(keys))))
-        cuts, known, source = np.cumsum([0, *map(len, parts)]), [], []
+        owner = np.empty(len(keys), dtype=np.int64)
+        owner[order] = np.repeat(order[head], np.diff(np.append(head, len(keys))))
+        cuts, known, source, spot = np.cumsum([0, *map(len, parts)]), [], [], []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            earlier = least[a:b] < doc[a:b]
+            least = doc[owner[a:b]]
+            earlier = least < doc[a:b]
             known.append(np.packbits(earlier).tobytes())
-            source.append(least[a:b][earlier].astype("<i8").tobytes())
-        return pa.table({"batch": table["batch"].cast(pa.int64()), "bucket": table["bucket"].cast(pa.int32()), "known": pa.array(known, pa.binary()), "source": pa.array(source, pa.binary())})
+            source.append(least[earlier].astype("<i8").tobytes())
+            spot.append(_small(place[owner[a:b]][earlier]))
+        return pa.table({"batch": table["batch"].cast(pa.int64()), "bucket": table["bucket"].cast(pa.int32()), "known": pa.array(known, pa.binary()), "source": pa.array(source, pa.binary()), "spot": pa.array(spot, pa.binary())})
 
     return answer
 
 
-_SCHEMA = "doc_id long, n_words long, n_removed long, n_factors long, spans array<struct<start:long,length:long,source:long>>, kept_text string"
+_SCHEMA = "doc_id long, n_words long, n_removed long, n_factors long, spans array<struct<start:long,length:long,source:long,place:long>>, kept_text string"
 
 
 def _finish(lead: int, k: int):
     def finish(batch: int, payload: bytes, replies: pa.Table) -> pa.Table:
         w = _Windows(payload, k)
         b = w.words
-        # the earliest document of each key: in this batch, or in an answer
-        source = w.id[w.owner]
-        got = {x: (known.as_py(), found.as_py()) for x, known, found in zip(replies["bucket"].to_pylist(), replies["known"], replies["source"], strict=True)}
+        # the first occurrence of each key: in this batch, or in an answer
+        source, spot = w.id[w.owner], w.spot.copy()
+        got = {x: (known.as_py(), found.as_py(), where.as_py()) for x, known, found, where in zip(replies["bucket"].to_pylist(), replies["known"], replies["source"], replies["spot"], strict=True)}
         for bucket, own in w.requests(lead):
-            known, found = got[bucket]
+            known, found, where = got[bucket]
             earlier = own[np.unpackbits(np.frombuffer(known, dtype=np.uint8), count=len(own)).astype(bool)]
-            source[earlier] = np.frombuffer(found, dtype="<i8")
-        src = source[w.at]
+            source[earlier], spot[earlier] = np.frombuffer(found, dtype="<i8"), _large(where)
+        src, spot = source[w.at], spot[w.at]
         hit = src < w.id[b.doc[w.place]]
-        at, src = w.place[hit], src[hit]
-        # greedy factors: runs of windows that follow each other with one source
+        at, src, spot = w.place[hit], src[hit], spot[hit]
+        # a factor goes on where the next window's first occurrence is the next place of its source
         new = np.ones(len(at), dtype=bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (src[1:] != src[:-1]) | (b.doc[at[1:]] != b.doc[at[:-1]])
+        new[1:] = (at[1:] != at[:-1] + 1) | (src[1:] != src[:-1]) | (spot[1:] != spot[:-1] + 1) | (b.doc[at[1:]] != b.doc[at[:-1]])
         begin = np.flatnonzero(new)
         last = np.append(begin[1:], len(at)) - 1 if len(begin) else begin
         start, length = at[begin], at[last] - at[begin] + k
@@ -153,7 +172,7 @@ def _finish(lead: int, k: int):
         per_doc = np.bincount(b.doc[start], minlength=docs)
         spans = pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(per_doc))), pa.int32()),
-            pa.StructArray.from_arrays([pa.array(start - b.first[b.doc[start]]), pa.array(length), pa.array(src[begin])], names=["start", "length", "source"]),
+            pa.StructArray.from_arrays([pa.array(start - b.first[b.doc[start]]), pa.array(length), pa.array(src[begin]), pa.array(spot[begin])], names=["start", "length", "source", "place"]),
         )
         return pa.table({"doc_id": w.ids.cast(pa.int64()), "n_words": pa.array(b.counts, pa.int64()), "n_removed": pa.array(removed), "n_factors": pa.array(per_doc, pa.int64()), "spans": spans, "kept_text": text})
 
@@ -166,7 +185,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Words are runs of bytes other than white space, unchanged. A word is removed
     if a window of k consecutive words over it also starts in a document of a
     smaller id; windows are judged on the input. spans: the factors, as (first
-    word, words, source document); neighbours may overlap where the source changes.
+    word, words, source document, first word there); the words under them are those
+    that go, and are the source's own. Neighbours may overlap where the source changes.
     kept_text: the kept words, joined by one space. A null text has no words. A row
     without an id loses nothing and is no source; rows of one id do not remove each
     other. Other columns are ignored. An empty table gives an empty result. Windows
@@ -174,5 +194,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     batches = batch_table(docs, id_col, text_col, "substring-batches")
     lead = prefix_bytes(batches.agg(F.sum("n_words")).first()[0] or 0)
-    replies = ask(batches, _request(lead, k), _answer(lead), "first_id long, steps binary, counts binary, keys binary", "known binary, source binary")
+    replies = written(ask(batches, _request(lead, k), _answer(lead), "first_id long, steps binary, counts binary, spots binary, keys binary", "known binary, source binary, spot binary"), "substring-replies")
+    # the questions, which are larger than the texts, are not needed any more
+    release(docs.sparkSession)
     return meet(batches, replies, _finish(lead, k), _SCHEMA)
