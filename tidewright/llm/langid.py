@@ -2,14 +2,16 @@
 
 Training adds up n-gram counts by language in each partition, as packed arrays,
 and sums these in two steps. The log-probability matrix, languages by buckets,
-is broadcast; its size is bounded by MOST_LANGUAGES. Scoring is numpy on Arrow
+is broadcast in blocks of at most LANGUAGES languages, which bounds each; a text meets one block after the
+other and keeps its best language and the sum of all likelihoods. Scoring is numpy on Arrow
 batches: each text's n-grams are looked up and summed at once for a batch.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -19,11 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import lean, slices, text_batch
+from .store import forget, written
 
 ORDERS = (1, 2, 3)
 BITS = 16
-#: Bound of the broadcast: 512 KiB a language.
-MOST_LANGUAGES = 256
+#: Bound of a broadcast: 512 KiB a language.
+LANGUAGES = 128
 SLICE = 1 << 19
 _PARTS = 16
 _PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -88,8 +91,17 @@ def _summed(table: pa.Table) -> pa.Table:
 _COUNTS = "lang string, part int, salt int, docs long, counts binary"
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages in order, log-probabilities [languages, buckets], log-priors) of all rows with a language."""
+@dataclass
+class Model:
+    """What is learned of a block of languages: names in order, log-probabilities [languages, buckets], log-priors."""
+
+    langs: list[str]
+    log_p: np.ndarray
+    prior: np.ndarray
+
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Iterator[Model]:
+    """The model of all rows with a language, in blocks of languages, of which the driver holds one at a time."""
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -115,54 +127,67 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     partial = rows.mapInArrow(lean(count), _COUNTS)
-    found = partial.groupBy("lang", "part", "salt").applyInArrow(_summed, _COUNTS).groupBy("lang", "part").applyInArrow(_summed, _COUNTS)
-    n = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
-    if n > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: the model would be too large to broadcast")
-    parts: dict[str, dict[int, np.ndarray]] = {}
-    docs: dict[str, int] = {}
-    for r in found.collect():
-        parts.setdefault(r.lang, {})[r.part] = np.frombuffer(r.counts, dtype="<i8")
-        docs[r.lang] = docs.get(r.lang, 0) + r.docs
-    langs = sorted(parts)
-    counts = np.array([np.concatenate([parts[x][i] for i in range(_PARTS)]) for x in langs], dtype=np.float64).reshape(len(langs), 1 << BITS)
-    log_p = np.log(counts + 0.5) - np.log(counts.sum(axis=1, keepdims=True) + 0.5 * (1 << BITS))
-    prior = np.array([docs[x] for x in langs], dtype=np.float64)
-    return langs, log_p, np.log(prior / max(1.0, prior.sum()))
-
-
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    found = written(partial.groupBy("lang", "part", "salt").applyInArrow(_summed, _COUNTS).groupBy("lang", "part").applyInArrow(_summed, _COUNTS), "language-counts")
+    # a row for each language
+    sizes = {r.lang: r.n for r in found.groupBy("lang").agg(F.sum("docs").alias("n")).collect()}
+    langs, total = sorted(sizes), max(1, sum(sizes.values()))
+    for a in range(0, len(langs), LANGUAGES):
+        own = langs[a : a + LANGUAGES]
+        counts = np.zeros((len(own), _PARTS, (1 << BITS) // _PARTS))
+        for r in found.where(F.col("lang").between(own[0], own[-1])).collect():
+            counts[own.index(r.lang), r.part] = np.frombuffer(r.counts, dtype="<i8")
+        counts = counts.reshape(len(own), 1 << BITS)
+        log_p = np.log(counts + 0.5) - np.log(counts.sum(axis=1, keepdims=True) + 0.5 * (1 << BITS))
+        yield Model(own, log_p, np.log(np.array([sizes[x] for x in own]) / total))
+    forget(found)
+
+
+def predict(docs: DataFrame, model: Iterable[Model], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: (doc_id, lang_pred, score).
 
     score: the posterior probability of lang_pred. A text that is null or has no
     letter is ``und`` with score 0, as is every text if nothing was learned. Ties go
     to the language that comes first by code point. Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, log_p, prior = shared.value
-        for batch in slices(rows, "text", SLICE):
-            buckets, ends, letters = ngrams(batch.column(1))
-            n = batch.num_rows
-            total = np.tile(prior, (n, 1))
-            for b, e in zip(buckets, ends, strict=True):
-                filled = np.flatnonzero(np.diff(e))
-                if len(filled):
-                    for i in range(len(langs)):
-                        total[filled, i] += np.add.reduceat(log_p[i][b], e[filled])
-            known = (letters > 0) & bool(langs)
-            if langs:
-                best = total.argmax(axis=1)
-                top = total[np.arange(n), best]
-                prob = np.where(known, 1 / np.exp(total - top[:, None]).sum(axis=1), 0.0)
-                names = np.where(known, np.array(langs, dtype=object)[best], "und")
-            else:
-                prob, names = np.zeros(n), np.full(n, "und", dtype=object)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(prob, pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lean(score), "doc_id long, lang_pred string, score double")
+    def scorer(shared, last: bool):
+        def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for batch in slices(rows, "text", SLICE):
+                buckets, ends, letters = ngrams(batch.column(1))
+                n, every = batch.num_rows, np.arange(batch.num_rows)
+                total = np.tile(m.prior, (n, 1))
+                for b, e in zip(buckets, ends, strict=True):
+                    filled = np.flatnonzero(np.diff(e))
+                    if len(filled):
+                        for i in range(len(m.langs)):
+                            total[filled, i] += np.add.reduceat(m.log_p[i][b], e[filled])
+                # what blocks before this one have found: the best language, its likelihood, and the sum of all relative to that
+                best, top = total.argmax(axis=1), total.max(axis=1)
+                rest = np.exp(total - top[:, None]).sum(axis=1)
+                names = np.array(m.langs, dtype=object)[best]
+                old = batch.column(3).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                names = np.where(old >= top, np.array(batch.column(2).to_pylist(), dtype=object), names)
+                most = np.maximum(old, top)
+                sums = rest * np.exp(top - most) + batch.column(4).fill_null(0.0).to_numpy(zero_copy_only=False) * np.exp(old - most)
+                known = letters[every] > 0
+                found = [pa.array(np.where(known, names, None), pa.string()), pa.array(most, mask=~known), pa.array(sums, mask=~known)]
+                # the text goes on to the next block only
+                yield pa.RecordBatch.from_arrays([batch.column(0), *([] if last else [batch.column(1)]), *found], names=schema(last))
+
+        return lean(score)
+
+    def schema(last: bool) -> list[str]:
+        return ["doc_id", *([] if last else ["text"]), "lang_pred", "top", "sums"]
+
+    kinds = {"doc_id": "long", "text": "string", "lang_pred": "string", "top": "double", "sums": "double"}
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("string").alias("lang_pred"), F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("sums"))
+    blocks = iter(model)
+    block = next(blocks, None)
+    while block is not None:
+        shared, block = docs.sparkSession.sparkContext.broadcast(block), next(blocks, None)
+        rows = rows.mapInArrow(scorer(shared, block is None), ", ".join(f"{x} {kinds[x]}" for x in schema(block is None)))
+    return rows.select("doc_id", F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce(1 / F.col("sums"), F.lit(0.0)).alias("score"))
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

@@ -225,11 +225,11 @@ def _sketch(shingles: np.ndarray) -> list[int]:
 
 def _long_list(table: pa.Table) -> pa.Table:
     """The pairs of a list, or of two chunks of it, in different components, whose sizes and sketches allow a link."""
-    rep, n, comp, own = (table[c].to_numpy() for c in ("rep", "n", "comp", "own"))
+    rep, row, n, comp, own = (table[c].to_numpy() for c in ("rep", "row", "n", "comp", "own"))
     sketch = pa.concat_arrays(table["sketch"].chunks).flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1)
     split = table["lo"][0].as_py() != table["hi"][0].as_py()
     order = np.argsort(n, kind="stable")
-    rep, n, comp, own, sketch = rep[order], n[order], comp[order], own[order], sketch[order].view(np.uint64)
+    rep, row, n, comp, own, sketch = rep[order], row[order], n[order], comp[order], own[order], sketch[order].view(np.uint64)
     left, right = [], []
     for i in range(len(rep) - 1):
         j = np.arange(i + 1, np.searchsorted(n, 4 * int(n[i]) // 3, side="right"))
@@ -242,7 +242,7 @@ def _long_list(table: pa.Table) -> pa.Table:
     i, j = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
     swap = rep[i] > rep[j]
     i, j = np.where(swap, j, i), np.where(swap, i, j)
-    return pa.table({"a": pa.array(rep[i], pa.int64()), "b": pa.array(rep[j], pa.int64()), "na": pa.array(n[i], pa.int32()), "nb": pa.array(n[j], pa.int32())})
+    return pa.table({"a": pa.array(rep[i], pa.int64()), "b": pa.array(rep[j], pa.int64()), "ra": pa.array(row[i], pa.int64()), "rb": pa.array(row[j], pa.int64()), "na": pa.array(n[i], pa.int32()), "nb": pa.array(n[j], pa.int32())})
 
 
 def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,14 +259,14 @@ def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, na, nb) -> those that link, as (a, b)."""
+    """pairs (a, b, ra, rb, na, nb) of sets, by id and row, -> those that link, as (a, b)."""
 
     def side(end: str, column: str) -> DataFrame:
-        return sets.select(F.col("rep").alias(end), F.col(column).alias(f"{column}_{end}"))
+        return sets.select(F.col("row").alias(f"r{end}"), F.col(column).alias(f"{column}_{end}"))
 
     differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
-    return near.join(side("a", "shared"), "a").join(side("b", "shared"), "b").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(lean(_linked), "a long, b long")
+    near = pairs.join(side("a", "sketch"), "ra").join(side("b", "sketch"), "rb").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "ra", "rb", "na", "nb")
+    return near.join(side("a", "shared"), "ra").join(side("b", "shared"), "rb").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(lean(_linked), "a long, b long")
 
 
 def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep") -> DataFrame:
@@ -274,7 +274,7 @@ def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep"
     return (
         lists.join(pivots, "key")
         .where(f"{which} and comp <> p.comp and 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
-        .selectExpr("least(rep, p.rep) a", "greatest(rep, p.rep) b", "if(rep < p.rep, n, p.n) na", "if(rep < p.rep, p.n, n) nb")
+        .selectExpr("least(rep, p.rep) a", "greatest(rep, p.rep) b", "if(rep < p.rep, row, p.row) ra", "if(rep < p.rep, p.row, row) rb", "if(rep < p.rep, n, p.n) na", "if(rep < p.rep, p.n, n) nb")
         .distinct()
     )
 
@@ -283,7 +283,7 @@ def _with_components(lists: DataFrame, comps: DataFrame) -> DataFrame:
     """Lists whose members still lie in different components, with these; entries that rounds can't change are gone."""
     now = lists.drop("comp").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
     open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    return now.join(open_, "key", "left_semi").select("key", "rep", "n", "comp")
+    return now.join(open_, "key", "left_semi").select("key", "rep", "row", "n", "comp")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,7 +317,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = ids.groupBy("set_a", "set_b", "n").agg(F.min(F.struct("doc_id", "row")).alias("rep"))
     owners = written(ids.join(classes, ["set_a", "set_b", "n"]).select("doc_id", F.col("rep.doc_id").alias("rep"), F.col("rep.row").alias("rep_row"), "row"), "ngram-owners")
     one = owners.where("row = rep_row").select("row")
-    sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "n", "shared", "rarest", "sketch", "subsets", "supersets"), "ngram-reps")
+    sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "row", "n", "shared", "rarest", "sketch", "subsets", "supersets"), "ngram-reps")
     owners = owners.where("doc_id <> rep").select("doc_id", "rep").distinct()
     del live, ids, classes, one
     release(docs.sparkSession)
@@ -329,8 +329,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     light_edges = smaller.unionAll(larger).join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b"))
 
     # heavy sets: inverted lists of their rarest shared shingles
-    lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "n")
-    heavy = sets.where("rarest is not null").select("rep", "shared", "sketch")
+    lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "row", "n")
+    heavy = sets.where("rarest is not null").select("row", "shared", "sketch")
     several = lists.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
     lists = written(lists.join(several, "key", "left_semi").withColumn("comp", F.col("rep")), "ngram-lists")
     found = connected_components(light_edges, "ngram-components")
@@ -340,19 +340,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         entries, pairs = left.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0))).first()
         if not entries or pairs <= 2 * entries or turn == PIVOT_ROUNDS:
             break
-        by = "struct(rep)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep)"
-        pivots = lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, n, comp), {by}) p"))
+        by = "struct(rep, row)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep, row)"
+        pivots = lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, row, n, comp), {by}) p"))
         links = _verified(_candidates(lists, pivots), heavy)
         found = connected_components(_star(found).unionByName(links), "ngram-components")
         del left, pivots, links
         release(docs.sparkSession)
     lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     short = lists.join(lengths.where(F.col("m") <= SHORT_LIST).select("key"), "key", "left_semi")
-    pairs = _candidates(short, short.select("key", F.struct("rep", "n", "comp").alias("p")), "rep < p.rep")
+    pairs = _candidates(short, short.select("key", F.struct("rep", "row", "n", "comp").alias("p")), "rep < p.rep")
     long = lists.join(lengths.where(F.col("m") > SHORT_LIST), "key").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     long = long.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    long = long.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "n", "comp").join(heavy.select("rep", "sketch"), "rep")
-    pairs = pairs.unionByName(long.groupBy("key", "lo", "hi").applyInArrow(_long_list, "a long, b long, na int, nb int")).distinct()
+    long = long.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "row", "n", "comp").join(heavy.select("row", "sketch"), "row")
+    pairs = pairs.unionByName(long.groupBy("key", "lo", "hi").applyInArrow(_long_list, "a long, b long, ra long, rb long, na int, nb int")).distinct()
     links = _verified(pairs, heavy)
 
     # a document that is a copy hangs on its representative
