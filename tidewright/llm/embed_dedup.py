@@ -42,7 +42,7 @@ WIDTH = 2.0
 #: Steps of a projection, whose deviation is 1, that a byte tells apart.
 STEPS = 16
 #: Vectors that a cell holds on average, and at most before it is split.
-CELL, CHUNK = 512, 2048
+CELL, CHUNK = 512, 1024
 _TILE = 256
 
 

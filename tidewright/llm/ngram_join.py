@@ -341,7 +341,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not entries or pairs <= 2 * entries or turn == PIVOT_ROUNDS:
             break
         by = "struct(rep, row)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep, row)"
-        pivots = lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, row, n, comp), {by}) p"))
+        # written, so that the planner knows its size before the lists are moved
+        pivots = written(lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, row, n, comp), {by}) p")), "ngram-pivots")
         links = _verified(_candidates(lists, pivots), heavy)
         found = connected_components(_star(found).unionByName(links), "ngram-components")
         del left, pivots, links
