@@ -31,6 +31,9 @@ from .store import release, written
 from .words import Batch, windows
 
 WORDS = 13
+_CODEC = pa.Codec("zstd", compression_level=1)
+#: Bytes that are worth a compressed frame.
+_WORTH = 64
 
 
 class _Windows:
@@ -68,13 +71,19 @@ class _Windows:
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Whole numbers in the fewest bytes each, that number first."""
+    """Whole numbers in the fewest bytes each, first bytes first, compressed if there are some; their width and number before them."""
     width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or int(x.max()) < 1 << (8 * w))
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+    planes = np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return bytes([width]) + len(x).to_bytes(4, "little") + (_CODEC.compress(planes).to_pybytes() if len(planes) >= _WORTH else planes)
 
 
 def _large(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
+    width, n = data[0], int.from_bytes(data[1:5], "little")
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    planes = _CODEC.decompress(data[5:], decompressed_size=width * n) if width * n >= _WORTH else data[5:]
+    planes = np.frombuffer(planes, dtype=np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def _request(lead: int, k: int):
