@@ -305,9 +305,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sizes[min(max(1, k - WORDS + 1) if k else 0, SIZES - WORDS)] += c
     light, lead = boundary(sizes), prefix_bytes(n_words)
 
-    replies = ask(batches, _request(lead), _answer(lead), "keys binary, counts binary", "ranks binary")
+    replies = written(ask(batches, _request(lead), _answer(lead), "keys binary, counts binary", "ranks binary"), "ngram-replies")
+    # the questions are larger than the texts, and not needed any more
+    release(docs.sparkSession)
     all_sets = written(meet(batches, replies, _finish(lead, light), _SET_SCHEMA), "ngram-sets")
-    forget(batches)
+    forget(batches, replies)
     del replies, batches
     release(docs.sparkSession)
 
