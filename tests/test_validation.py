@@ -140,3 +140,33 @@ def test_captions_with_tabs_and_marks(spark):
     files = spark.createDataFrame([("a", "\ufeffWEBVTT\n\n00:01.000 -->\t00:02.000\talign:start\n\ufeffhello\n \t\n  NOTE x --> y\n\n00:03.000 --> 00:04.000\nhello you\n")], "path string, content string")
     got = [(r.start, r.end, r.text, r.status) for r in vtt.cues(files).orderBy("block").collect()]
     assert got == [(1.0, 2.0, "hello", "ok"), (3.0, 4.0, "you", "ok")]
+
+
+def test_a_bad_caption_file_stops_no_other(spark, tmp_path):
+    (tmp_path / "good.vtt").write_text("WEBVTT\n\n00:01.000 --> 00:02.000\nhello\n\n00:03.000 --> 00:09.000\nlate\n", encoding="utf-8")
+    (tmp_path / "broken.vtt").write_bytes(b"WEBVTT\n\n00:01.000 --> 00:02.000\n\xff\xfe\n")
+    (tmp_path / "headless.vtt").write_text("00:01.000 --> 00:02.000\nhello\n")
+    captions = manifest.read_captions(spark, str(tmp_path))
+    assert captions.where("content is null").count() == 1
+    stems = sorted(r.path[:-4] for r in captions.collect())
+    audio_ = spark.createDataFrame([(f"{s}.wav", 5.0) for s in [*stems, "/no/captions"]], "wav_path string, audio_duration double")
+    found = manifest.build_manifest(captions, audio_, str(tmp_path / "out"), "da")
+    assert tuple(found) == (4, 1, 3, 1, 1)
+    rows = spark.read.json(str(tmp_path / "out")).collect()
+    assert [(r.text, r.start, r.end, r.language) for r in rows] == [("hello", 1.0, 2.0, "da")]
+
+
+def test_local_splits_and_vocabulary(spark, tmp_path):
+    import pyarrow as pa
+
+    from tidewright.sources import arrow
+
+    data = pa.table({"a": [1, 2]})
+    for name in ("one/train/data-0.arrow", "three/x.arrow"):
+        (tmp_path / name).parent.mkdir(parents=True)
+        with pa.OSFile(str(tmp_path / name), "wb") as f, pa.ipc.new_stream(f, data.schema) as out:
+            out.write_table(data)
+    spark.range(3).withColumnRenamed("id", "a").write.parquet(str(tmp_path / "two/train"))
+    assert [arrow.read_local(spark, str(tmp_path / d), "train", "a long").count() for d in ("one", "two", "three")] == [2, 3, 2]
+    manifest.write_vocabulary(spark.createDataFrame([("å", 1), ("|", 0)], "char string, id long"), str(tmp_path / "v"))
+    assert spark.read.text(str(tmp_path / "v")).first()[0] == '{"|": 0, "å": 1}'

@@ -23,3 +23,19 @@ def read_arrow(spark: SparkSession, folder: str, schema: str, glob: str = "data-
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     return files.select("content").mapInArrow(run, schema)
+
+
+def read_local(spark: SparkSession, folder: str, split: str, schema: str) -> DataFrame:
+    """A split of a dataset on disk: Arrow files data-*.arrow below folder/split, else Parquet files there, else Arrow files anywhere below the folder."""
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    own = f"{folder.rstrip('/')}/{split}"
+
+    def there(pattern: str) -> bool:
+        place = path(pattern)
+        return bool(place.getFileSystem(conf).globStatus(place))
+
+    if there(f"{own}/data-*.arrow"):
+        return read_arrow(spark, own, schema)
+    if there(f"{own}/*.parquet"):
+        return spark.read.schema(schema).parquet(own)
+    return read_arrow(spark, folder, schema, "*.arrow")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import vtt
 from ..store import written
 
 # Configuration keys that hold secrets or paths.
@@ -58,9 +60,10 @@ def _is_whole(x: object) -> bool:
 
 
 def read_captions(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, content) of every .vtt file below the folder."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.vtt").text(folder, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    """(path, content) of every .vtt file below the folder; content is null where it is no UTF-8, which stops no other file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.vtt").load(folder)
+    text = F.col("content").cast("string")
+    return files.select("path", F.when(F.is_valid_utf8(text), text).alias("content"))
 
 
 def pair_with_audio(captions: DataFrame, audio: DataFrame) -> DataFrame:
@@ -123,6 +126,24 @@ def vocabulary_json(df: DataFrame) -> dict[str, int]:
     return {r["char"]: r["id"] for r in df.orderBy("id").collect()}
 
 
+def write_vocabulary(df: DataFrame, path: str) -> None:
+    """The vocabulary as one JSON object in one file, in the order of ids."""
+    text = json.dumps(vocabulary_json(df), ensure_ascii=False)
+    df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def build_manifest(captions: DataFrame, audio: DataFrame, path: str, language: str) -> Row:
+    """Write the manifest of all cues of (path, content) that lie within their audio (wav_path, audio_duration) of the same stem, and return its counters.
+
+    A file that can't be read as captions gives no row and counts as skipped, whatever else is there.
+    """
+    pairs = pair_with_audio(captions, audio)
+    cue = written(vtt.cues(pairs.where("content is not null").select("path", "content")), "manifest-cues")
+    held = pairs.select("wav_path", "audio_duration", "path")
+    write_manifest(vtt.manifest(cue, held, language), path)
+    return vtt.summary(cue, held).first()
+
+
 def redact(value: object, key: str = "") -> object:
     """A nested configuration without secrets and paths, for publication."""
     if value is None:
