@@ -25,5 +25,5 @@ def test_hint_covers_every_alternative(spark):
         "SECRET": [key, "password=abcdef", 'token = "abcdef'], "NAME": [f"{t}{dot} Ab" for t in pii.MALE + pii.FEMALE + pii.NEUTRAL for dot in ("", ".")],
     }
     rows = spark.createDataFrame([(k, getattr(pii, k), x) for k, xs in least.items() for x in xs], "kind string, own string, x string")
-    seen = rows.select("kind", "x", F.expr("x rlike own").alias("own"), F.col("x").rlike(pii.PATTERN).alias("any"), F.col("x").rlike(pii.HINT).alias("hint")).collect()
-    assert [r for r in seen if not (r.own and r["any"] and r.hint)] == []
+    seen = rows.select("kind", "x", F.expr("x rlike own").alias("own"), F.col("x").rlike(pii.PATTERN).alias("any"), F.col("x").rlike(pii.HINT).alias("hint"), pii.hinted(F.col("x")).alias("hinted")).collect()
+    assert [r for r in seen if not (r.own and r["any"] and r.hint and r.hinted)] == []
