@@ -47,14 +47,17 @@ def test_transcript_join(spark):
         joins.transcript_join(audio, words, "nope", "k", "w")
 
 
-@pytest.mark.parametrize("few", [2000, 0])
-def test_contains_join(spark, monkeypatch, few):
+@pytest.mark.parametrize(("few", "most"), [(2000, 1 << 20), (0, 1 << 20), (0, 0), (2000, 0)])
+def test_contains_join(spark, monkeypatch, few, most):
     monkeypatch.setattr(joins, "FEW_PHRASES", few)
+    monkeypatch.setattr(joins, "MOST_BYTES", most)
     rng = random.Random(1)
     texts = [(i, " ".join(rng.choice("abc") for _ in range(12))) for i in range(40)]
     phrases = [(i, " ".join(rng.choice("abc") for _ in range(n))) for i, n in enumerate((1, 3, 5, 6, 7, 6, 6, 7))] + [(9, ""), (10, None), (11, texts[3][1][2:-2])]
     got = joins.contains_join(spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame(phrases, "j int, p string"), "t", "p").select("i", "j").collect()
     assert sorted(map(tuple, got)) == sorted((i, j) for i, t in texts for j, p in phrases if p and p in t)
+    none = joins.contains_join(spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame([(1, "")], "j int, p string"), "t", "p")
+    assert none.columns == ["i", "t", "j", "p"] and none.collect() == []
 
 
 def test_decontaminate(spark):

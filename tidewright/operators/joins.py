@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..store import written
 from .filters import require_columns
 
 
@@ -48,8 +51,10 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str
     return df.join(found, F.col(key) == F.col("lookup_key_"), "left").withColumn(out, F.col("lookup_value_")).drop("lookup_key_", "lookup_value_")
 
 
-#: Phrases, and bytes of phrases, that are sent to every task and searched for in every text, at most.
+#: Short phrases, and bytes of them, that are searched for in every text, at most.
 FEW_PHRASES, FEW_BYTES = 16, 1 << 16
+#: Bytes of phrases that are sent to every task, at most.
+MOST_BYTES = 8 << 20
 #: Characters of a short phrase that its texts are met by.
 HEAD = 12
 
@@ -58,31 +63,43 @@ def contains_join(texts: DataFrame, phrases: DataFrame, text: str, phrase: str,
     """Pairs of a row of texts and a row of phrases that its text contains; columns of both, which must differ.
 
     Phrases of ``words`` + 2 words or more meet texts by a word n-gram inside them.
-    Shorter ones, which no whole inner n-gram can tell, are broadcast where they are
-    few, by a count made first; else they meet texts by their first HEAD characters,
-    or all of them, a pass over the texts for each length that occurs. All these are equi-joins
-    that are then verified.
+    Shorter ones, which no whole inner n-gram can tell, meet texts by their first
+    HEAD characters, or all of them, a pass over the texts for each length that
+    occurs; a few are searched for instead. All these are equi-joins that are then
+    verified. Phrases of MOST_BYTES together, counted first, are sent to the tasks; if they
+    are more, texts are written with numbers, and only these move with the n-grams.
     """
     phrases = phrases.where(F.col(phrase).isNotNull() & (F.col(phrase) != ""))
     contained = F.contains(F.col(text), F.col(phrase))
     parts = F.split(F.col(phrase), " ")
     long = F.size(parts) >= words + 2
-    grams = phrases.where(long).withColumn("gram_", F.array_join(F.slice(parts, F.lit(2), F.lit(words)), " "))
+    length = F.octet_length(phrase)
+    size = phrases.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length), F.lit(0)).alias("b"), F.count_if(~long).alias("short"), F.coalesce(F.sum(F.when(~long, length)), F.lit(0)).alias("short_b")).first()
+    if not size.n:
+        return texts.join(phrases, F.lit(False))
+    met = []
     # the words are a column of their own below the explode, so that they are split once
-    held = texts.withColumn("words_", F.split(F.col(text), " "))
+    held = lambda df: df.withColumn("words_", F.split(F.col(text), " "))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words_") - words + 1, F.lit(1)))
-    left = held.withColumn("gram_", F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("words_", i, F.lit(words)), " "))))).drop("words_")
-    met = left.join(grams, "gram_").where(contained).drop("gram_")
-    short = phrases.where(~long)
-    size = short.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(phrase)), F.lit(0)).alias("b")).first()
-    if size.n <= FEW_PHRASES and size.b <= FEW_BYTES:
-        return met.unionByName(texts.join(F.broadcast(short), contained)) if size.n else met
-    headed = short.withColumn("gram_", F.substring(phrase, 1, HEAD))
-    for n in sorted(r.n for r in headed.select(F.length("gram_").alias("n")).distinct().collect()):
-        places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        left = texts.withColumn("gram_", F.explode(F.array_distinct(F.transform(places, _cutter(text, n)))))
-        met = met.unionByName(left.join(headed.where(F.length("gram_") == n), "gram_").where(contained).drop("gram_"))
-    return met
+    by_words = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("words_", i, F.lit(words)), " ")))
+    ways = [(held, by_words, phrases.where(long).withColumn("gram_", F.array_join(F.slice(parts, F.lit(2), F.lit(words)), " ")))] if size.n > size.short else []
+    few = size.short <= FEW_PHRASES and size.short_b <= FEW_BYTES
+    if few and size.short:
+        met.append(texts.join(F.broadcast(phrases.where(~long)), contained))
+    elif size.short:
+        headed = phrases.where(~long).withColumn("gram_", F.substring(phrase, 1, HEAD))
+        for n in sorted(r.n for r in headed.select(F.length("gram_").alias("n")).distinct().collect()):
+            places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+            ways.append((lambda df: df, F.array_distinct(F.transform(places, _cutter(text, n))), headed.where(F.length("gram_") == n)))
+    small = size.b <= MOST_BYTES
+    numbered = texts if small or not ways else written(texts.withColumn("row_", F.monotonically_increasing_id()), "contained-texts")
+    for prepare, grams, own in ways:
+        if small:
+            met.append(prepare(texts).withColumn("gram_", F.explode(grams)).join(F.broadcast(own), "gram_").where(contained).select(*texts.columns, *phrases.columns))
+            continue
+        pairs = prepare(numbered).select("row_", F.explode(grams).alias("gram_")).join(own, "gram_").drop("gram_")
+        met.append(numbered.join(pairs, "row_").where(contained).select(*texts.columns, *phrases.columns))
+    return reduce(DataFrame.unionByName, met)
 
 
 def _cutter(text: str, n: int):

@@ -66,7 +66,11 @@ def _forget_all() -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more; else they stay on disk until the driver happens to collect garbage."""
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; else they stay on disk until the driver happens to collect garbage.
+
+    Spark's own threads refer to the plan that ran last, so a plan without files has to be that one.
+    """
+    spark.range(1).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
