@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import forget, written
+from ..store import forget, written
 
 
 def _least(edges: DataFrame) -> DataFrame:

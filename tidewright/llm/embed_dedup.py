@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .batches import lean
 from .components import connected_components
-from .store import forget, written
+from ..store import forget, written
 from .vectors import matrix, usable
 
 RECALL = 0.999

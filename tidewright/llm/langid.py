@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import lean, slices, text_batch
-from .store import forget, written
+from ..store import forget, written
 
 ORDERS = (1, 2, 3)
 BITS = 16

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .batches import SIZES, ask, batch_table, bucket_bounds, cut_keys, join_keys, lean, meet, prefix_bytes, text_batch, unpack
 from .components import connected_components
-from .store import forget, release, written
+from ..store import forget, release, written
 from .words import LOWER, Batch, factors, mix, short_hashes, windows
 
 WORDS = 5
@@ -321,7 +321,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one = owners.where("row = rep_row").select("row")
     sets = written(live.join(one, "row", "left_semi").select(F.col("doc_id").alias("rep"), "row", "n", "shared", "rarest", "sketch", "subsets", "supersets"), "ngram-reps")
     owners = owners.where("doc_id <> rep").select("doc_id", "rep").distinct()
-    del live, ids, classes, one
+    sizes = written(all_sets.select("doc_id", "n"), "ngram-sizes")
+    forget(all_sets)
+    del all_sets, live, ids, classes, one
     release(docs.sparkSession)
 
     # light sets: those that have a key as the smaller set link with all that have it
@@ -337,7 +339,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lists = written(lists.join(several, "key", "left_semi").withColumn("comp", F.col("rep")), "ngram-lists")
     found = connected_components(light_edges, "ngram-components")
     for turn in range(PIVOT_ROUNDS + 1):
-        lists = written(_with_components(lists, found), "ngram-lists")
+        then = written(_with_components(lists, found), "ngram-lists")
+        forget(lists)
+        lists = then
         left = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         entries, pairs = left.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0))).first()
         if not entries or pairs <= 2 * entries or turn == PIVOT_ROUNDS:
@@ -347,6 +351,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pivots = written(lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, row, n, comp), {by}) p")), "ngram-pivots")
         links = _verified(_candidates(lists, pivots), heavy)
         found = connected_components(_star(found).unionByName(links), "ngram-components")
+        forget(pivots)
         del left, pivots, links
         release(docs.sparkSession)
     lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
@@ -361,8 +366,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # a document that is a copy hangs on its representative
     copies = owners.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     comps = connected_components(_star(found).unionByName(links).unionByName(copies), "ngram-components")
+    forget(sets, lists)
     return (
-        all_sets.select(F.col("doc_id"), F.col("n").cast("long").alias("n_shingles"))
+        sizes.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
         .join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     )

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .batches import lean, slices, text_batch
 from .bpe import SLICE, encoder
-from .store import release, written
+from ..store import release, written
 
 LENGTH = 1024
 PER_SHARD = 1024

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import ask, batch_table, bucket_bounds, cut_keys, join_keys, meet, prefix_bytes, text_batch, unpack
-from .store import release, written
+from ..store import release, written
 from .words import Batch, windows
 
 WORDS = 13
