@@ -45,13 +45,21 @@ def test_decisions_take_effect(spark, steps):
     assert sorted(map(tuple, last.select("doc_id", "decoded_sha256").collect())) == sorted(map(tuple, want.collect()))
 
 
+NAMES = ["size", "a.b", "copies", "id_", "n_entities", "key_", "TEXT_MD5", "quality_score_", "gone"]
+
+
 def test_nulls_and_extra_columns(spark):
-    rows = [(1, "a b c d e f g", "en", "s", 13, "x"), (1, "a b c d e f g", "en", "s", 13, "x"), (2, "a b c d e f g", None, None, None, None), (None, None, None, None, None, None), (3, "", "en", "s", 0, "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string")
+    own = ["x"] * len(NAMES)
+    rows = [(1, "a b c d e f g", "en", "s", 13, *own), (1, "a b c d e f g", "en", "s", 13, *own), (1, "quite another text of this very id", "en", "s", 34, *own)]
+    rows += [(2, "a b c d e f g", None, None, None, *own), (None, None, None, None, None, *own), (3, "", "en", "s", 0, *own), (4, "word " * 100_000, "en", "s", 500_000, *own), (None, "+1 212 555 0101", None, "s", 15, *own)]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *[f"`{n}` string" for n in NAMES]]))
     kept = P.near_duplicates(spark, df, SF)
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, None]
-    for stage in (P.pii, P.mixing):
-        assert stage(spark, df, SF).columns == df.columns
-    assert P.byte_level_bpe(spark, df, SF).count() == 5
-    for stage in (P.near_duplicates, P.pii, P.mixing, P.byte_level_bpe):
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 1, 3, 4, None, None]
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns, name
+        assert all(list(r[5:]) == own for r in out.collect())
         assert stage(spark, df.limit(0), SF).count() == 0
+    texts = {r.text for r in P.pii(spark, df, SF).where("doc_id is null").collect()}
+    assert None in texts and "+1 212 555 0101" not in texts
+    assert P.byte_level_bpe(spark, df, SF).count() == len(rows) and P.byte_level_bpe(spark, df.limit(0), SF).count() == 0

@@ -453,7 +453,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """The rows of ``encoded`` with one more column, decoded (binary): the bytes of the ids; null ids give null."""
-    schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
+    # numbered names, as mapInArrow does not quote those of its input
+    plain = encoded.toDF(*[f"c{i}" for i in range(len(encoded.columns))])
+    schema = StructType([*plain.schema.fields, StructField("decoded", BinaryType())])
     at = encoded.columns.index(ids_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,4 +470,4 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> Dat
                 out = pa.array([data[x:y] if ok else None for x, y, ok in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(lean(run), schema)
+    return plain.mapInArrow(lean(run), schema).toDF(*encoded.columns, "decoded")

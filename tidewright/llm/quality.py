@@ -171,7 +171,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         k = min(NEIGHBOURS, len(m.labels))
-        for batch in slices(rows, text_col, SLICE):
+        for batch in slices(rows, f"c{at}", SLICE):
             for a in range(0, batch.num_rows, _DOCS):
                 part = batch.slice(a, _DOCS)
                 v = _unit(_weighted(counts(part.column(at)), m.idf) @ m.axes)
@@ -182,10 +182,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
                     weight = np.maximum(np.take_along_axis(near, top, axis=1), 0).astype(np.float64) ** SHARPNESS
                     total = weight.sum(axis=1)
                     np.divide((weight * m.labels[top]).sum(axis=1), total, out=out, where=total > 0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1))], names=[*part.schema.names, score_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1))], names=[*part.schema.names, "score"])
 
-    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
-    return docs.mapInArrow(lean(run), schema)
+    # numbered names, as mapInArrow does not quote those of its input
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = StructType([*plain.schema.fields, StructField("score", DoubleType())])
+    return plain.mapInArrow(lean(run), schema).toDF(*docs.columns, score_col)
 
 
 def learned(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> Model:
