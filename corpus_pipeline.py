@@ -28,14 +28,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays, that of the least id; of rows of that id, those that are alike in id and text become one."""
+    drop, again, mark = (free_name(x, docs.columns) for x in ("component_dropped", "id_repeated", "text_md5"))
     found = ngram_jaccard_join(docs.select("doc_id", "text"))
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again"))
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(drop)).distinct()
+    kept = docs.join(gone, F.col("doc_id") == col(drop), "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias(mark)).where(col(mark) > 1).select(F.col("doc_id").alias(again))
     if not repeated.limit(1).count():
         return kept.select(*[col(c) for c in docs.columns])
-    several = F.col("doc_id") == F.col("again")
-    mark = free_name("text_md5", docs.columns)
+    several = F.col("doc_id") == col(again)
     ones = kept.join(repeated, several, "left_semi").withColumn(mark, F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("-"))).dropDuplicates(["doc_id", mark])
     return kept.join(repeated, several, "left_anti").unionByName(ones.drop(mark)).select(*[col(c) for c in docs.columns])
 
