@@ -25,15 +25,18 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """edges (a, b), any order, loops and repeats allowed -> (node, root): root is the least node reachable.
 
     Only nodes that occur in an edge between two nodes are returned. A round is
-    two aggregations and joins by node; hubs are joined, never grouped, so that
-    adaptive execution can split them. Each round's edges are a written table.
+    two aggregations and joins by node; hubs are joined, never grouped. Each round's
+    edges and least neighbours are written tables: adaptive execution splits a hub only
+    where both sides of its join come straight from an exchange, not from an aggregation.
     """
     now = written(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     while not _is_forest_of_stars(now):
         both = now.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.u", "e.v")
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.join(_least(large), "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
+        least = written(_least(both), name)
+        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), name)
+        again = written(_least(large), name)
+        small = large.join(again, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
         then = written(small.select("e.a", "e.b").where("a <> b").distinct(), name)
-        forget(now)
+        forget(now, least, large, again)
         now = then
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

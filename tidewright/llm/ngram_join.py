@@ -280,10 +280,15 @@ def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep"
 
 
 def _with_components(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Lists whose members still lie in different components, with these; entries that rounds can't change are gone."""
-    now = lists.drop("comp").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
-    open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    return now.join(open_, "key", "left_semi").select("key", "rep", "row", "n", "comp")
+    """Lists whose members still lie in different components, with these; entries that rounds can't change are gone.
+
+    What is joined by a list's key is a written table, so that adaptive execution can split a hot list.
+    """
+    now = written(lists.drop("comp").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root"), "ngram-lists")
+    open_ = written(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "ngram-open")
+    out = written(now.join(open_, "key", "left_semi").select("key", "rep", "row", "n", "comp"), "ngram-lists")
+    forget(now, open_)
+    return out
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,11 +340,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # heavy sets: inverted lists of their rarest shared shingles
     lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "row", "n")
     heavy = sets.where("rarest is not null").select("row", "shared", "sketch")
-    several = lists.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
+    several = written(lists.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key"), "ngram-open")
     lists = written(lists.join(several, "key", "left_semi").withColumn("comp", F.col("rep")), "ngram-lists")
     found = connected_components(light_edges, "ngram-components")
     for turn in range(PIVOT_ROUNDS + 1):
-        then = written(_with_components(lists, found), "ngram-lists")
+        then = _with_components(lists, found)
         forget(lists)
         lists = then
         left = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
@@ -354,7 +359,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         forget(pivots)
         del left, pivots, links
         release(docs.sparkSession)
-    lengths = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    lengths = written(lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "ngram-lengths")
     short = lists.join(lengths.where(F.col("m") <= SHORT_LIST).select("key"), "key", "left_semi")
     pairs = _candidates(short, short.select("key", F.struct("rep", "row", "n", "comp").alias("p")), "rep < p.rep")
     long = lists.join(lengths.where(F.col("m") > SHORT_LIST), "key").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
