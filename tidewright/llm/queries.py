@@ -31,6 +31,40 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"""
+d AS (
+  SELECT doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), x AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+)"""
+
+
+def _window(k: int) -> str:
+    """The words of a window of k from a word on, null where the text ends before."""
+    return f"CASE WHEN lead(word, {k - 1}) OVER o IS NOT NULL THEN concat_ws(' ', word, {', '.join(f'lead(word, {j}) OVER o' for j in range(1, k))}) END"
+
+
+OP1_SQL = f"""
+WITH RECURSIVE {_WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")}
+, g AS (
+  SELECT doc_id, {_window(5)} AS s FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), s AS (
+  SELECT DISTINCT doc_id, s FROM g WHERE s IS NOT NULL UNION SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), reached AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(least_, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, min(b) AS least_ FROM reached GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_pii(_table(spark, sf_dir, "documents"), key=PII_KEY).select("doc_id", "n_entities", "text")
 
@@ -137,11 +171,48 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), u AS (
+  SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u FROM v
+  WHERE v IS NOT NULL AND len(v) > 0 AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x))) AND list_inner_product(v, v) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u) AND list_inner_product(a.u, b.u) >= 0.95
+), reached AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), found AS (
+  SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(least_, v.vec_id)) AS component_id FROM v
+  LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = v.vec_id LEFT JOIN (SELECT a, min(b) AS least_ FROM reached GROUP BY a) r ON r.a = v.vec_id
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found
+"""
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "n_factors")
 
 
+OP9_SQL = f"""
+WITH {_WORDS.format(text="coalesce(text, '')")}
+, k AS (
+  SELECT doc_id, i, word, {_window(13)} AS k FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), f AS (
+  SELECT k, min(struct_pack(doc := doc_id, place := i)) AS f FROM k WHERE k IS NOT NULL GROUP BY k
+), h AS (
+  SELECT k.*, CASE WHEN f.f.doc < doc_id THEN f.f.doc END AS source, CASE WHEN f.f.doc < doc_id THEN f.f.place END AS place FROM k LEFT JOIN f ON f.k = k.k
+), c AS (
+  SELECT *, coalesce(max(CASE WHEN source IS NOT NULL THEN i END) OVER o >= i - 12, false) AS gone,
+    source IS NOT NULL AND NOT coalesce(lag(source) OVER o = source AND lag(place) OVER o = place - 1, false) AS begins
+  FROM h WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)
+), t AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept, count(*) FILTER (begins) AS n_factors FROM c GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_factors, 0) AS n_factors FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -152,4 +223,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3_SQL, "op5_pareto_mixing": OP5_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op3_exact_top_k": OP3_SQL, "op5_pareto_mixing": OP5_SQL, "op8_embedding_near_dedup": OP8_SQL, "op9_substring_dedup": OP9_SQL}
