@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
 
     conf = {
         "spark.driver.memory": "4g", "spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     }
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -27,3 +27,41 @@ def test_batches_and_interleaving_lose_no_row(spark):
 def test_nothing_is_numbered(spark):
     assert numbered(spark.range(0), ["id"], "test-rows").collect() == []
     assert free_name("A", ["a", "A_"]) == "A__"
+
+
+def test_tables_go_when_nothing_needs_them(spark, tmp_path):
+    import os
+
+    from tidewright.store import forget, release, shared_folder, written
+
+    folder = shared_folder(spark)
+    table = written(spark.range(5), "kept")
+    (path,) = [p for p in os.listdir(folder) if p.startswith("kept-")]
+    assert table.count() == 5
+    forget(table)
+    release(spark)
+    assert not os.path.exists(os.path.join(folder, path))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from tidewright.store import shared_folder
+
+    class Conf:
+        @staticmethod
+        def get(*_):
+            return None
+
+    class Session:
+        conf = Conf
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+            @staticmethod
+            def getConf():  # noqa: N802
+                return Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)

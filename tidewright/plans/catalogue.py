@@ -7,7 +7,6 @@ sentences, conversations for captions in order, embeddings for waveforms.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,7 +16,7 @@ from ..functions import arrays, scalars, text
 from ..functions.numerals import TENS, UNITS, numerals_to_words
 from ..operators import filters, joins, metrics, mix, ngrams, scoring, validation, vtt
 from ..sources import manifest, shards
-from ..store import numbered, shared_folder
+from ..store import numbered, scratch
 
 KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
 #: Weights of languages in the interleaving; others have 1.
@@ -63,7 +62,7 @@ def validation_flag(spark, sf):
 @_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 8 BETWEEN 2 AND 4 AND o_totalprice > 1000 AND o_totalprice < 200000")
 def shard_scan(spark, sf):
     """Orders written as eight shards, of which a pinned range is read."""
-    folder = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    folder = scratch(spark, "shards")
     shard = F.format_string("%05d", F.col("o_orderkey") % 8)
     _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", shard.alias("shard")).write.partitionBy("shard").parquet(folder)
     picked = {"template": "shard={shard:05d}", "start": 2, "end": 4}
@@ -76,7 +75,7 @@ SELECT event_id, value FROM n WHERE value > 1 AND value < 30 AND place % 3 IN (0
 """)
 def manifest_duration(spark, sf):
     """Events written as a manifest in the order of their ids, of which two shards of three are read."""
-    path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    path = scratch(spark, "manifest")
     e = _t(spark, sf, "events")
     rows = e.select(F.lit("events").alias("source_wav_path"), F.lit(0.0).alias("start"), F.col("value").alias("end"), F.col("value").alias("duration"), F.lit("").alias("text"), F.col("event_id").cast("string").alias("id"), F.lit("en").alias("language"), "event_id")
     manifest.write_manifest(rows.orderBy("event_id").drop("event_id"), path)

@@ -28,16 +28,22 @@ def shared_folder(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has yet; what is there when the driver's process ends is deleted."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _KEPT:
+        atexit.register(_forget_all)
+    _KEPT[path] = spark
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: short lineage that survives lost executors.
 
     What ``forget`` has not deleted by then goes when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    if not _KEPT:
-        atexit.register(_forget_all)
-    _KEPT[path] = spark
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidewright_path = path
