@@ -77,7 +77,19 @@ def test_repeated_rows(spark):
     assert near_duplicates(table(spark, [])).collect() == []
 
 
+def test_long_vectors(spark):
+    rng = np.random.default_rng(8)
+    one = rng.standard_normal(5000)
+    rows = [(1, one.tolist()), (2, (one * 3 + 0.01).tolist()), (3, rng.standard_normal(5000).tolist()), (4, one[:2952].tolist())]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_duplicates(table(spark, rows)).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4)]
+    best = top_k(table(spark, rows), table(spark, rows[:1]), 1).collect()
+    assert [(r.query_id, r.vec_id) for r in best] == [(1, 2)]
+
+
 def test_calibration():
+    # tables and signs have their places in a cell's number
+    assert embed_dedup.tables_needed(0.95, 31) < 256
     assert embed_dedup.count_needed() <= embed_dedup.WINDOWS and embed_dedup.tables_needed(0.95, 10) > 1
 
 

@@ -123,7 +123,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         for whole in batches:
             for x, at in _by_length(whole.column(1)):
                 signs, lines = _directions(x.shape[1], tables, bits)
-                cells = _codes(x, signs, tables, bits) + ((np.arange(tables, dtype=np.int64) << 44) + (x.shape[1] << 52))[None]
+                # 32 bits of signs, 8 of the table, the rest for the length
+                cells = _codes(x, signs, tables, bits) + ((np.arange(tables, dtype=np.int64) << 32) + (x.shape[1] << 40))[None]
                 steps = np.clip(np.floor(x @ lines * STEPS), -128, 127).astype(np.int8)
                 cid = whole.column(0).take(pa.array(np.repeat(at, tables)))
                 held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WINDOWS), len(x), [None, pa.py_buffer(steps.tobytes())]).cast(pa.binary())
@@ -147,7 +148,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         n = table.num_rows
         (x, _), = _by_length(table["v"])
         signs, _ = _directions(x.shape[1], tables, bits)
-        codes, t = _codes(x, signs, tables, bits), (table["cell"][0].as_py() >> 44) & 255
+        codes, t = _codes(x, signs, tables, bits), (table["cell"][0].as_py() >> 32) & 255
         own, split = table["own"].to_numpy(), table["lo"][0].as_py() != table["hi"][0].as_py()
         left, right = [], []
         for a in range(0, n, _TILE):
