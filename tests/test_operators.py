@@ -64,6 +64,9 @@ def test_decontaminate(spark):
     texts = spark.createDataFrame([(1, "a b c d"), (2, "b"), (3, "x"), (4, None)], "i int, t string")
     phrases = spark.createDataFrame([("b",), ("b c",), ("",)], "p string")
     assert ngrams.decontaminate(texts, phrases, "i", "t", "p").orderBy("i").collect() == [(1, "a d", True), (3, "x", False)]
+    odd = spark.createDataFrame([(None, "x b"), (None, "y"), (5, "b z"), (5, "w"), (5, "b z")], "i int, t string")
+    got = sorted(map(repr, map(tuple, ngrams.decontaminate(odd, phrases, "i", "t", "p").collect())))
+    assert got == sorted(map(repr, [(None, "x", True), (None, "y", False), (5, "z", True), (5, "z", True), (5, "w", False)]))
 
 
 def test_probabilities():

@@ -58,14 +58,16 @@ def decontaminate(texts: DataFrame, phrases: DataFrame, text_id: str, text: str,
     """(text_id, text, changed): texts without the phrases that they contain; emptied ones are gone.
 
     Longer phrases go first, then by code point; the empty phrase counts for nothing.
-    White space that a removal leaves doubled becomes one space.
+    White space that a removal leaves doubled becomes one space. Rows of a null or
+    repeated id are told apart by their texts. Null texts go.
     """
-    own = texts.select(F.col(text_id).alias("id_"), F.col(text).alias("text_"))
+    own = texts.select(F.col(text_id).alias("id_"), F.col(text).alias("text_")).withColumn("hash_", F.md5(F.col("text_").cast("binary")))
     seen = phrases.select(F.col(phrase).alias("phrase_")).where("phrase_ <> ''").distinct()
-    met = contains_join(own, seen, "text_", "phrase_").groupBy("id_").agg(F.array_sort(F.collect_set("phrase_")).alias("found_"))
+    met = contains_join(own, seen, "text_", "phrase_").groupBy(F.col("id_").alias("met_id_"), F.col("hash_").alias("met_hash_")).agg(F.array_sort(F.collect_set("phrase_")).alias("found_"))
     ordered = F.transform(F.array_sort(F.transform("found_", lambda p: F.struct((-F.length(p)).alias("l"), p.alias("p")))), lambda x: x["p"])
     without = F.trim(F.regexp_replace(F.aggregate(ordered, F.col("text_"), lambda s, p: F.replace(s, p, F.lit(""))), " +", " "))
-    out = own.join(met, "id_", "left").select("id_", F.when(F.col("found_").isNull(), F.col("text_")).otherwise(without).alias("text_"), F.col("found_").isNotNull().alias("changed"))
+    same = F.col("id_").eqNullSafe(F.col("met_id_")) & (F.col("hash_") == F.col("met_hash_"))
+    out = own.join(met, same, "left").select("id_", F.when(F.col("found_").isNull(), F.col("text_")).otherwise(without).alias("text_"), F.col("found_").isNotNull().alias("changed"))
     return out.where("text_ <> ''").select(F.col("id_").alias(text_id), F.col("text_").alias(text), "changed")
 
 
