@@ -65,3 +65,11 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session)
+
+
+def test_few_splits_are_spread(spark):
+    from tidewright.store import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 3 * cores)
+    assert spread(one).rdd.getNumPartitions() == cores and spread(many) is many and sorted(r.id for r in spread(one).collect()) == list(range(100))

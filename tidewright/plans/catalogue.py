@@ -16,7 +16,7 @@ from ..functions import arrays, scalars, text
 from ..functions.numerals import TENS, UNITS, numerals_to_words
 from ..operators import filters, joins, metrics, mix, ngrams, scoring, validation, vtt
 from ..sources import manifest, shards
-from ..store import numbered, scratch
+from ..store import numbered, scratch, spread
 
 KEEP = "abcdefghijklmnopqrstuvwxyzæøåéü0123456789"
 #: Weights of languages in the interleaving; others have 1.
@@ -39,6 +39,11 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Documents, for work that costs more than to read them."""
+    return spread(_t(spark, sf, "documents").select(*columns))
+
+
 # --- filters, limits, sets -------------------------------------------------
 
 
@@ -131,7 +136,7 @@ def lookup(spark, sf):
 @_query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND b.text <> ''")
 def contained_benchmark(spark, sf):
     b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    return joins.contains_join(_t(spark, sf, "documents").select("doc_id", "text"), b, "text", "phrase").select("doc_id", "item_id")
+    return joins.contains_join(_texts(spark, sf, "doc_id", "text"), b, "text", "phrase").select("doc_id", "item_id")
 
 
 @_query("""
@@ -145,7 +150,7 @@ WITH m AS (
 SELECT doc_id, md5(text) AS text_md5, changed FROM r WHERE text <> ''
 """)
 def decontaminate(spark, sf):
-    out = ngrams.decontaminate(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"), "doc_id", "text", "text")
+    out = ngrams.decontaminate(_texts(spark, sf, "doc_id", "text"), _t(spark, sf, "benchmark"), "doc_id", "text", "text")
     return out.select("doc_id", F.md5("text").alias("text_md5"), "changed")
 
 
@@ -178,17 +183,17 @@ _KEPT = f"regexp_replace(regexp_replace({_CLEAN}, '^\\s+|\\s+$', '', 'g'), '(?i)
 
 @_query(f"SELECT doc_id, md5({_sql_lines(f'''regexp_replace({_CLEAN}, ' +', ' ', 'g')''')}) AS clean_md5 FROM documents")
 def clean_text(spark, sf):
-    return _t(spark, sf, "documents").select("doc_id", F.md5(text.clean_transcript(F.col("text"))).alias("clean_md5"))
+    return _texts(spark, sf, "doc_id", "text").select("doc_id", F.md5(text.clean_transcript(F.col("text"))).alias("clean_md5"))
 
 
 @_query(f"SELECT doc_id, md5({_sql_lines(f'''regexp_replace({_KEPT}, ' +', ' ', 'g')''')}) AS clean_md5 FROM documents")
 def clean_text_keep(spark, sf):
-    return _t(spark, sf, "documents").select("doc_id", F.md5(text.clean_transcript(F.col("text"), keep=KEEP)).alias("clean_md5"))
+    return _texts(spark, sf, "doc_id", "text").select("doc_id", F.md5(text.clean_transcript(F.col("text"), keep=KEEP)).alias("clean_md5"))
 
 
 @_query(f"SELECT doc_id, md5({_sql_fillers('lower(text)')}) AS clean_md5 FROM documents")
 def clean_filler(spark, sf):
-    return _t(spark, sf, "documents").select("doc_id", F.md5(text.remove_fillers(F.lower("text"))).alias("clean_md5"))
+    return _texts(spark, sf, "doc_id", "text").select("doc_id", F.md5(text.remove_fillers(F.lower("text"))).alias("clean_md5"))
 
 
 @_query(f"""
@@ -196,7 +201,7 @@ WITH c AS (SELECT lang, {_sql_lines(f'''regexp_replace({_KEPT}, ' +', ' ', 'g')'
 SELECT lang, count(*) AS n, CAST(sum(length(t)) AS BIGINT) AS chars FROM c WHERE t <> '' GROUP BY lang
 """)
 def clean_by_language(spark, sf):
-    clean = _t(spark, sf, "documents").select("lang", text.clean_transcript(F.col("text"), keep=KEEP).alias("t"))
+    clean = _texts(spark, sf, "lang", "text").select("lang", text.clean_transcript(F.col("text"), keep=KEEP).alias("t"))
     return clean.where(filters.has_text(F.col("t"))).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("t")).alias("chars"))
 
 
@@ -242,7 +247,7 @@ g AS (
 SELECT CAST(n AS INTEGER) AS n, ngram, count(*) AS count FROM g GROUP BY n, ngram HAVING count(*) > CASE WHEN n = 1 THEN 0 ELSE 1 END
 """)
 def ngram_counts(spark, sf):
-    return ngrams.ngram_counts(_t(spark, sf, "documents"), "text", 3)
+    return ngrams.ngram_counts(_texts(spark, sf, "text"), "text", 3)
 
 
 @_query("""
@@ -250,7 +255,7 @@ WITH c AS (SELECT DISTINCT unnest(string_split(text, '')) AS char FROM documents
 SELECT char, row_number() OVER (ORDER BY char) - 1 AS id FROM c WHERE char <> ''
 """)
 def vocabulary(spark, sf):
-    return ngrams.vocabulary(_t(spark, sf, "documents"), "text")
+    return ngrams.vocabulary(_texts(spark, sf, "text"), "text")
 
 
 # --- captions --------------------------------------------------------------

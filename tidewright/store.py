@@ -81,6 +81,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out to all cores where it has fewer splits than there are cores, as a file of one row group has; else as it is.
+
+    For costly work on each row. Tables of many splits, which is all large ones, are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, with as many underscores after it as make it unlike any of ``taken``, whatever the case."""
     lower = {c.lower() for c in taken}
