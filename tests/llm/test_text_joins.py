@@ -9,11 +9,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import ngram_join
+from tidewright.llm import batches, ngram_join, substring
 from tidewright.llm.components import connected_components
 from tidewright.llm.ngram_join import boundary, needed, ngram_jaccard_join, subset_keys, subset_shapes
 from tidewright.llm.substring import substring_dedup
 from tidewright.llm.words import LOWER
+from tidewright.store import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -177,3 +178,23 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     assert {n: got.get(n, n) for n in root} == {n: find(n) for n in root}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("module, run", [(substring, substring_dedup), (ngram_join, ngram_jaccard_join)])
+def test_buckets_grow_by_bits(spark, monkeypatch, module, run):
+    """A corpus a little too large for 256 buckets asks at most 512, and gets the same rows."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(40_000)}" for _ in range(250)) for _ in range(8)]
+    df = spark.createDataFrame(list(enumerate([*texts, *texts[:2]])), "doc_id long, text string").coalesce(1)
+    want, asked = sorted(run(df).collect()), {}
+
+    def count(table, name):
+        out = written(table, name)
+        asked[name] = out.count()
+        return out
+
+    monkeypatch.setattr(module, "written", count)
+    # 2,500 words: 313 buckets are needed
+    monkeypatch.setattr(batches, "BUCKET_KEYS", 8)
+    assert sorted(run(df).collect()) == want
+    assert 256 < next(n for name, n in asked.items() if name.endswith("-replies")) <= 512

@@ -2,7 +2,7 @@
 
 Operators that compare every word window of a corpus with every other one send,
 for each batch of texts, its distinct 64-bit window hashes to hash buckets: one
-row for a batch and bucket, the hashes packed into a binary, the byte or bytes
+row for a batch and bucket, the hashes packed into a binary, the whole bytes
 that the bucket itself tells left out. A bucket answers each batch in the order
 it was asked, so an answer costs a bit or a byte for a hash, not an identifier.
 
@@ -113,9 +113,12 @@ def batch_table(docs: DataFrame, id_col: str, text_col: str, name: str, batch_by
     return written(rows.mapInArrow(lean(cut), "batch long, n_words long, sizes array<long>, payload binary"), name)
 
 
-def prefix_bytes(n_keys: int) -> int:
-    """How many leading bytes of a hash name its bucket: 1, 2 or 3."""
-    return 1 if n_keys <= 256 * BUCKET_KEYS else 2 if n_keys <= 65536 * BUCKET_KEYS else 3
+def bucket_bits(n_keys: int) -> int:
+    """How many leading bits of a hash name its bucket: as few as the keys allow, from 8 to 24.
+
+    The number of rows is that of batches times that of buckets, so one bucket more than needed costs a row for each batch.
+    """
+    return min(24, max(8, (max(0, n_keys - 1) // BUCKET_KEYS).bit_length()))
 
 
 def cut_keys(keys: np.ndarray, lead: int) -> bytes:
@@ -131,9 +134,9 @@ def join_keys(data: bytes, lead: int) -> np.ndarray:
     return whole.view("<u8").ravel()
 
 
-def bucket_bounds(sorted_keys: np.ndarray, lead: int) -> tuple[np.ndarray, np.ndarray]:
+def bucket_bounds(sorted_keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(buckets that occur, their bounds) in sorted keys."""
-    b = (sorted_keys >> np.uint64(64 - 8 * lead)).astype(np.int64)
+    b = (sorted_keys >> np.uint64(64 - bits)).astype(np.int64)
     if not len(b):
         return b, np.zeros(1, dtype=np.int64)
     at = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import SIZES, ask, batch_table, bucket_bounds, cut_keys, join_keys, lean, meet, prefix_bytes, text_batch, unpack
+from .batches import SIZES, ask, batch_table, bucket_bits, bucket_bounds, cut_keys, join_keys, lean, meet, text_batch, unpack
 from .components import connected_components
 from ..store import forget, release, written
 from .words import LOWER, Batch, factors, mix, short_hashes, windows
@@ -121,10 +121,10 @@ class _Sets:
         self.counts = np.bincount(self.at, weights=known[self.docs], minlength=len(self.keys)).astype(np.int64)
 
 
-def _request(lead: int):
+def _request(bits: int):
     def request(batch: int, payload: bytes) -> Iterator[pa.RecordBatch]:
         sets = _Sets(payload)
-        buckets, bounds = bucket_bounds(sets.keys, lead)
+        buckets, bounds = bucket_bounds(sets.keys, bits)
         if not len(buckets):
             return
         counts = np.minimum(sets.counts, 65535).astype("<u2")
@@ -133,7 +133,7 @@ def _request(lead: int):
             {
                 "bucket": pa.array(buckets, pa.int32()),
                 "batch": pa.array([batch] * len(buckets), pa.int64()),
-                "keys": pa.array([cut_keys(sets.keys[a:b], lead) for a, b in cuts], pa.binary()),
+                "keys": pa.array([cut_keys(sets.keys[a:b], bits // 8) for a, b in cuts], pa.binary()),
                 "counts": pa.array([counts[a:b].tobytes() for a, b in cuts], pa.binary()),
             }
         )
@@ -141,10 +141,10 @@ def _request(lead: int):
     return request
 
 
-def _answer(lead: int):
+def _answer(bits: int):
     def answer(table: pa.Table) -> pa.Table:
         """For each hash of each batch: 0 if one text has it, else a rank that grows with the number of texts."""
-        parts = [join_keys(x.as_py(), lead) for x in table["keys"]]
+        parts = [join_keys(x.as_py(), bits // 8) for x in table["keys"]]
         keys = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(x.as_py(), dtype="<u2") for x in table["counts"]]).astype(np.int64)
         order = np.argsort(keys)
@@ -163,13 +163,13 @@ def _answer(lead: int):
 _SET_SCHEMA = "doc_id long, row long, n int, set_a long, set_b long, shared binary, rarest array<long>, sketch array<long>, subsets array<long>, supersets array<long>"
 
 
-def _finish(lead: int, light: int):
+def _finish(bits: int, light: int):
     heavy_from = -(-3 * (light + 1) // 4)
 
     def finish(batch: int, payload: bytes, replies: pa.Table) -> pa.Table:
         sets = _Sets(payload)
         rank = np.zeros(len(sets.keys), dtype=np.uint8)
-        buckets, bounds = bucket_bounds(sets.keys, lead)
+        buckets, bounds = bucket_bounds(sets.keys, bits)
         where = dict(zip(buckets.tolist(), bounds[:-1].tolist(), strict=True))
         for b, x in zip(replies["bucket"].to_pylist(), replies["ranks"], strict=True):
             got = np.frombuffer(x.as_py(), dtype=np.uint8)
@@ -308,12 +308,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sizes = [0] * (SIZES - WORDS + 1)
     for k, c in words.items():
         sizes[min(max(1, k - WORDS + 1) if k else 0, SIZES - WORDS)] += c
-    light, lead = boundary(sizes), prefix_bytes(n_words)
+    light, bits = boundary(sizes), bucket_bits(n_words)
 
-    replies = written(ask(batches, _request(lead), _answer(lead), "keys binary, counts binary", "ranks binary"), "ngram-replies")
+    replies = written(ask(batches, _request(bits), _answer(bits), "keys binary, counts binary", "ranks binary"), "ngram-replies")
     # the questions are larger than the texts, and not needed any more
     release(docs.sparkSession)
-    all_sets = written(meet(batches, replies, _finish(lead, light), _SET_SCHEMA), "ngram-sets")
+    all_sets = written(meet(batches, replies, _finish(bits, light), _SET_SCHEMA), "ngram-sets")
     forget(batches, replies)
     del replies, batches
     release(docs.sparkSession)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import ask, batch_table, bucket_bounds, cut_keys, join_keys, meet, prefix_bytes, text_batch, unpack
+from .batches import ask, batch_table, bucket_bits, bucket_bounds, cut_keys, join_keys, meet, text_batch, unpack
 from ..store import release, written
 from .words import Batch, windows
 
@@ -59,15 +59,15 @@ class _Windows:
         self.keys = keys[head]
         self.at = np.empty(len(keys), dtype=np.int64)
         self.at[order] = np.cumsum(head) - 1
-        first = self.place[order[head]]
-        self.owner = b.doc[first]
-        self.spot = first - b.first[self.owner]
+        self.found = self.place[order[head]]
+        self.owner = b.doc[self.found]
+        self.spot = self.found - b.first[self.owner]
 
-    def requests(self, lead: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(bucket, its keys by index) in the order of the texts that own them and of their places there."""
-        buckets, bounds = bucket_bounds(self.keys, lead)
-        for b, x, y in zip(buckets.tolist(), bounds[:-1], bounds[1:], strict=True):
-            yield b, x + np.lexsort((self.spot[x:y], self.owner[x:y]))
+    def requests(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(buckets, their bounds, keys by index); a bucket's keys are in the order of the texts that own them and of their places there."""
+        buckets, bounds = bucket_bounds(self.keys, bits)
+        # one sort for all buckets: words are numbered through the batch, text by text
+        return buckets, bounds, np.argsort(np.repeat(np.arange(len(buckets)), np.diff(bounds)) * len(self.words.starts) + self.found)
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -86,27 +86,45 @@ def _large(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
-def _request(lead: int, k: int):
+def _request(bits: int, k: int):
+    lead = bits // 8
+
     def request(batch: int, payload: bytes) -> Iterator[pa.RecordBatch]:
         w = _Windows(payload, k)
-        rows = []
-        for bucket, own in w.requests(lead):
-            docs, counts = np.unique(w.owner[own], return_counts=True)
-            ids = w.id[docs]
-            # places as steps from one to the next within a text
-            spots = np.diff(w.spot[own], prepend=0)
-            starts = np.cumsum(counts) - counts
-            spots[starts] = w.spot[own[starts]]
-            rows.append((bucket, batch, int(ids[0]), _small(np.diff(ids)), _small(counts), _small(spots), cut_keys(w.keys[own], lead)))
-        if rows:
-            names = ("bucket", "batch", "first_id", "steps", "counts", "spots", "keys")
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=list(names))
+        buckets, bounds, own = w.requests(bits)
+        if not len(buckets):
+            return
+        owner, spots = w.owner[own], w.spot[own]
+        # a run holds the keys that one text owns in one bucket
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = owner[1:] != owner[:-1]
+        new[bounds[:-1]] = True
+        run = np.flatnonzero(new)
+        counts, ids, cuts = np.diff(np.append(run, len(own))), w.id[owner[run]], np.searchsorted(run, bounds)
+        steps = np.diff(ids, prepend=0)
+        # places as steps from one to the next within a text
+        spots, starts = np.diff(spots, prepend=0), spots[run]
+        spots[run] = starts
+        keys, wide = cut_keys(w.keys[own], lead), 8 - lead
+        runs, places = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)), list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "bucket": pa.array(buckets, pa.int32()),
+                "batch": pa.array([batch] * len(buckets), pa.int64()),
+                "first_id": pa.array(ids[cuts[:-1]], pa.int64()),
+                "steps": pa.array([_small(steps[a + 1 : b]) for a, b in runs], pa.binary()),
+                "counts": pa.array([_small(counts[a:b]) for a, b in runs], pa.binary()),
+                "spots": pa.array([_small(spots[x:y]) for x, y in places], pa.binary()),
+                "keys": pa.array([keys[wide * x : wide * y] for x, y in places], pa.binary()),
+            }
+        )
 
     return request
 
 
-def _answer(lead: int):
+def _answer(bits: int):
+    lead = bits // 8
+
     def answer(table: pa.Table) -> pa.Table:
         """For each key of each batch: whether an earlier document has it, and for those that document's id and the place there."""
         parts, ids, places = [], [], []
@@ -137,16 +155,17 @@ def _answer(lead: int):
 _SCHEMA = "doc_id long, n_words long, n_removed long, n_factors long, spans array<struct<start:long,length:long,source:long,place:long>>, kept_text string"
 
 
-def _finish(lead: int, k: int):
+def _finish(bits: int, k: int):
     def finish(batch: int, payload: bytes, replies: pa.Table) -> pa.Table:
         w = _Windows(payload, k)
         b = w.words
         # the first occurrence of each key: in this batch, or in an answer
         source, spot = w.id[w.owner], w.spot.copy()
         got = {x: (known.as_py(), found.as_py(), where.as_py()) for x, known, found, where in zip(replies["bucket"].to_pylist(), replies["known"], replies["source"], replies["spot"], strict=True)}
-        for bucket, own in w.requests(lead):
+        buckets, bounds, order = w.requests(bits)
+        for bucket, x, y in zip(buckets.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             known, found, where = got[bucket]
-            earlier = own[np.unpackbits(np.frombuffer(known, dtype=np.uint8), count=len(own)).astype(bool)]
+            earlier = order[x:y][np.unpackbits(np.frombuffer(known, dtype=np.uint8), count=y - x).astype(bool)]
             source[earlier], spot[earlier] = np.frombuffer(found, dtype="<i8"), _large(where)
         src, spot = source[w.at], spot[w.at]
         hit = src < w.id[b.doc[w.place]]
@@ -202,8 +221,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are compared by 64-bit hashes.
     """
     batches = batch_table(docs, id_col, text_col, "substring-batches")
-    lead = prefix_bytes(batches.agg(F.sum("n_words")).first()[0] or 0)
-    replies = written(ask(batches, _request(lead, k), _answer(lead), "first_id long, steps binary, counts binary, spots binary, keys binary", "known binary, source binary, spot binary"), "substring-replies")
+    bits = bucket_bits(batches.agg(F.sum("n_words")).first()[0] or 0)
+    replies = written(ask(batches, _request(bits, k), _answer(bits), "first_id long, steps binary, counts binary, spots binary, keys binary", "known binary, source binary, spot binary"), "substring-replies")
     # the questions, which are larger than the texts, are not needed any more
     release(docs.sparkSession)
-    return meet(batches, replies, _finish(lead, k), _SCHEMA)
+    return meet(batches, replies, _finish(bits, k), _SCHEMA)
