@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import batches, ngram_join, substring
+from tidewright.llm import batches, components as stars, ngram_join, substring
 from tidewright.llm.components import connected_components
 from tidewright.llm.ngram_join import boundary, needed, ngram_jaccard_join, subset_keys, subset_shapes
 from tidewright.llm.substring import substring_dedup
@@ -198,3 +198,42 @@ def test_buckets_grow_by_bits(spark, monkeypatch, module, run):
     monkeypatch.setattr(batches, "BUCKET_KEYS", 8)
     assert sorted(run(df).collect()) == want
     assert 256 < next(n for name, n in asked.items() if name.endswith("-replies")) <= 512
+
+
+def count_written(monkeypatch, *modules):
+    """Names of the tables that the modules write."""
+    names = []
+
+    def count(table, name):
+        names.append(name)
+        return written(table, name)
+
+    for module in modules:
+        monkeypatch.setattr(module, "written", count)
+    return names
+
+
+def test_few_edges_take_no_rounds(spark, monkeypatch):
+    """A long chain is put together at once, with the components that rounds of stars find."""
+    rng = random.Random(5)
+    names = rng.sample(range(-500, 500), 300)
+    edges = [*zip(names[:200], names[1:201], strict=True), *((names[200], x) for x in names[201:260]), *((rng.choice(names[260:]), rng.choice(names[260:])) for _ in range(30)), (None, 1), (7, None)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    tables = count_written(monkeypatch, stars)
+    got = sorted(connected_components(df).collect())
+    assert len(tables) == 2
+    monkeypatch.setattr(stars, "FEW_EDGES", 0)
+    assert sorted(connected_components(df).collect()) == got and len(tables) > 6
+    assert connected_components(df.limit(0)).collect() == []
+
+
+def test_join_of_few_and_of_many(spark, rows, monkeypatch):
+    """Few links and few pairs take a bounded number of tables; the ways for many give the same rows."""
+    df = spark.createDataFrame([(i, t) for i, t in rows[:-2]], "doc_id long, text string")
+    tables = count_written(monkeypatch, stars, ngram_join, batches)
+    got = sorted(ngram_jaccard_join(df).collect(), key=repr)
+    # 9 before the rounds; keys, pairs, lists and components of each round; what is left at the end
+    assert len(tables) <= 11 + 5 * ngram_join.PIVOT_ROUNDS + 4
+    monkeypatch.setattr(stars, "FEW_EDGES", 0)
+    monkeypatch.setattr(ngram_join, "FEW_SHINGLES", 0)
+    assert sorted(ngram_jaccard_join(df).collect(), key=repr) == got

@@ -49,6 +49,8 @@ PIVOT_ROUNDS = 3
 SKETCH = 2048
 #: Lists of more members compare sketches in tasks, each on two chunks of at most CHUNK.
 SHORT_LIST, CHUNK = 16, 2048
+#: Pairs with so many shingles in all (8 bytes each) meet as whole sets; more meet by their sketches first.
+FEW_SHINGLES = 1 << 23
 #: Bytes of text handled at once.
 BATCH = 4 << 20
 
@@ -258,15 +260,18 @@ def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, ra, rb, na, nb) of sets, by id and row, -> those that link, as (a, b)."""
+def _verified(pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pairs (a, b, ra, rb, na, nb) of sets, by id and row, -> those that link, as (a, b), and the written table they come from."""
 
     def side(end: str, column: str) -> DataFrame:
         return sets.select(F.col("row").alias(f"r{end}"), F.col(column).alias(f"{column}_{end}"))
 
-    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = pairs.join(side("a", "sketch"), "ra").join(side("b", "sketch"), "rb").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "ra", "rb", "na", "nb")
-    return near.join(side("a", "shared"), "ra").join(side("b", "shared"), "rb").select("a", "b", "na", "nb", "shared_a", "shared_b").mapInArrow(lean(_linked), "a long, b long")
+    near = pairs = written(pairs, "ngram-pairs")
+    if (pairs.agg(F.sum(F.col("na").cast("long") + F.col("nb"))).first()[0] or 0) > FEW_SHINGLES:
+        differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        near = pairs.join(side("a", "sketch"), "ra").join(side("b", "sketch"), "rb").where(7 * differ <= F.col("na") + F.col("nb")).select("a", "b", "ra", "rb", "na", "nb")
+    links = near.join(side("a", "shared"), "ra").join(side("b", "shared"), "rb").select("a", "b", "na", "nb", "shared_a", "shared_b")
+    return links.mapInArrow(lean(_linked), "a long, b long"), pairs
 
 
 def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep") -> DataFrame:
@@ -279,16 +284,16 @@ def _candidates(lists: DataFrame, pivots: DataFrame, which: str = "rep <> p.rep"
     )
 
 
-def _with_components(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Lists whose members still lie in different components, with these; entries that rounds can't change are gone.
+def _open_keys(lists: DataFrame, turn: int) -> DataFrame:
+    """A row for each key whose members lie in different components: (key, m members, s, the sum of squares of members by component, its pivot p).
 
-    What is joined by a list's key is a written table, so that adaptive execution can split a hot list.
+    Members are counted by component first, so a hot list is no single task. The result is a written table: its
+    size is known before lists are moved, and adaptive execution can split a hot list that is joined with it.
     """
-    now = written(lists.drop("comp").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root"), "ngram-lists")
-    open_ = written(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "ngram-open")
-    out = written(now.join(open_, "key", "left_semi").select("key", "rep", "row", "n", "comp"), "ngram-lists")
-    forget(now, open_)
-    return out
+    by = "struct(rep, row)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep, row)"
+    parts = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.expr(f"min(struct({by} by, struct(rep, row, n, comp) p)) least"))
+    keys = parts.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.expr("min(least).p p"))
+    return written(keys.where("lo <> hi").select("key", "m", "s", "p"), "ngram-keys")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,40 +343,39 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     light_edges = smaller.unionAll(larger).join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b"))
 
     # heavy sets: inverted lists of their rarest shared shingles
-    lists = sets.where("rarest is not null").select(F.explode("rarest").alias("key"), "rep", "row", "n")
     heavy = sets.where("rarest is not null").select("row", "shared", "sketch")
-    several = written(lists.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key"), "ngram-open")
-    lists = written(lists.join(several, "key", "left_semi").withColumn("comp", F.col("rep")), "ngram-lists")
     found = connected_components(light_edges, "ngram-components")
+    members = written(_in_components(sets.where("rarest is not null").select("rep", "row", "n", "rarest"), found), "ngram-members")
+    lists = members.select(F.explode("rarest").alias("key"), "rep", "row", "n", "comp")
+    several = written(lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "ngram-open")
+    lists = written(lists.join(several, "key", "left_semi"), "ngram-lists")
+    forget(members, several)
     for turn in range(PIVOT_ROUNDS + 1):
-        then = _with_components(lists, found)
-        forget(lists)
-        lists = then
-        left = lists.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        entries, pairs = left.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0))).first()
+        keys = _open_keys(lists, turn)
+        entries, pairs = keys.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2), F.lit(0))).first()
         if not entries or pairs <= 2 * entries or turn == PIVOT_ROUNDS:
             break
-        by = "struct(rep, row)" if turn == 0 else f"struct(xxhash64(rep, {turn}), rep, row)"
-        # written, so that the planner knows its size before the lists are moved
-        pivots = written(lists.groupBy("key").agg(F.expr(f"min_by(struct(rep, row, n, comp), {by}) p")), "ngram-pivots")
-        links = _verified(_candidates(lists, pivots), heavy)
-        found = connected_components(_star(found).unionByName(links), "ngram-components")
-        forget(pivots)
-        del left, pivots, links
+        links, met = _verified(_candidates(lists, keys.select("key", "p")), heavy)
+        then = connected_components(_star(found).unionByName(links), "ngram-components")
+        del links
+        # lists that are closed by now can't be open later
+        still = written(_in_components(lists.join(keys, "key", "left_semi").drop("comp"), then), "ngram-lists")
+        forget(lists, keys, met)
+        lists, found = still, then
         release(docs.sparkSession)
-    lengths = written(lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "ngram-lengths")
+    lengths = keys.select("key", "m")
     short = lists.join(lengths.where(F.col("m") <= SHORT_LIST).select("key"), "key", "left_semi")
     pairs = _candidates(short, short.select("key", F.struct("rep", "row", "n", "comp").alias("p")), "rep < p.rep")
     long = lists.join(lengths.where(F.col("m") > SHORT_LIST), "key").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     long = long.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     long = long.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "rep", "row", "n", "comp").join(heavy.select("row", "sketch"), "row")
     pairs = pairs.unionByName(long.groupBy("key", "lo", "hi").applyInArrow(_long_list, "a long, b long, ra long, rb long, na int, nb int")).distinct()
-    links = _verified(pairs, heavy)
+    links, met = _verified(pairs, heavy)
 
     # a document that is a copy hangs on its representative
     copies = owners.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     comps = connected_components(_star(found).unionByName(links).unionByName(copies), "ngram-components")
-    forget(sets, lists)
+    forget(sets, lists, keys, met)
     return (
         sizes.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
         .join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -379,6 +383,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def _in_components(members: DataFrame, components: DataFrame) -> DataFrame:
+    """members (rep, ...) with the component of each."""
+    return members.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
+
+
 def _star(components: DataFrame) -> DataFrame:
     """What is known of components, as edges."""
     return components.select(F.col("root").alias("a"), F.col("node").alias("b"))
